@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.plans.scan import running_sum
@@ -11,36 +13,41 @@ TERMINAL = ("done", "error")
 
 
 def sessionise(
-    events: DataFrame, key: str, order: tuple[str, ...] = ("ts", "event_id"), heavy: list | None = None
+    events: DataFrame, key: str, order: Sequence[str] = ("ts", "event_id"), heavy: list | None = None
 ) -> DataFrame:
     """Add `session`: the number of `done`/`error` events of the same key that came earlier."""
     ended = F.when(F.col("type").isin(*TERMINAL), 1).otherwise(0)
     return running_sum(events, key, list(order), ended, "session", inclusive=False, heavy=heavy)
 
 
-def fold_events(events: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+def fold_columns(order: Sequence[str]) -> tuple[list[Column], list[Column]]:
+    """Aggregates of a request's events, and the result columns made from them."""
+    at = F.struct(*order)
+    row = F.struct(at.alias("at"), "type", "partial", "credits_used", "id", "code", "message")
+    is_page = F.col("type") == "page"
+    hits = F.when(is_page, F.coalesce(F.size("web"), F.lit(0))).otherwise(0)
+    aggregates = [
+        F.count(F.when(is_page, 1)).alias("pages"),
+        F.sum(hits).cast("bigint").alias("hits"),
+        F.min(F.when(F.col("type").isin(*TERMINAL), row)).alias("_end"),
+    ]
+    final = [F.col("pages"), F.col("hits"), F.coalesce(F.col("_end.type"), F.lit("open")).alias("outcome")]
+    final += [F.col(f"_end.{c}").alias(c) for c in ("partial", "credits_used", "id", "code", "message")]
+    return aggregates, final
+
+
+def fold_events(events: DataFrame, order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """One row per request: pages and hits seen, and what `done` or `error` said.
 
     Counts, and the terminal event as a minimum in event order: all merge before the shuffle, so one request with
     very many events is no burden. The hits themselves stay rows (`folded_hits`).
     """
-    at = F.struct(*order)
-    row = F.struct(at.alias("at"), "type", "partial", "credits_used", "id", "code", "message")
-    end = F.min(F.when(F.col("type").isin(*TERMINAL), row))
-    is_page = F.col("type") == "page"
-    folded = events.groupBy("request_id").agg(
-        F.count(F.when(is_page, 1)).alias("pages"),
-        F.sum(F.when(is_page, F.coalesce(F.size("web"), F.lit(0))).otherwise(0)).cast("bigint").alias("hits"),
-        end.alias("_end"),
-    )
-    return folded.select(
-        "request_id", "pages", "hits", F.coalesce(F.col("_end.type"), F.lit("open")).alias("outcome"),
-        "_end.partial", "_end.credits_used", "_end.id", "_end.code", "_end.message",
-    )
+    aggregates, final = fold_columns(order)
+    return events.groupBy("request_id").agg(*aggregates).select("request_id", *final)
 
 
 def folded_hits(
-    events: DataFrame, order: tuple[str, ...] = ("ts", "event_id"), heavy: list | None = None
+    events: DataFrame, order: Sequence[str] = ("ts", "event_id"), heavy: list | None = None
 ) -> DataFrame:
     """The hits of each request in order, numbered from 1 across its page events."""
     pages = events.where(F.col("type") == "page").withColumn("_size", F.coalesce(F.size("web"), F.lit(0)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,9 +74,11 @@ def read_errors(spark: SparkSession, path: str, status: int | None = None) -> Da
     return errors_from_bodies(lines.select("body", code.alias("status")))
 
 
-def stream_events_from_lines(lines: DataFrame) -> DataFrame:
+def stream_events_from_lines(lines: DataFrame, fields: Mapping[str, str] | None = None) -> DataFrame:
     """NDJSON lines to events, in batch or streaming. A line that is JSON but no object counts as a bare `page`;
-    a line that is not JSON is kept in `bad_line`."""
+    a line that is not JSON is kept in `bad_line`. `fields` names further columns, such as the request an event was
+    landed for and its time, with their types."""
+    fields = fields or {}
     parsed = json_lines(lines)
     v = F.col("body")
     text = lambda name: F.try_variant_get(v, f"$.{name}", "string")
@@ -82,6 +86,7 @@ def stream_events_from_lines(lines: DataFrame) -> DataFrame:
     web = F.try_variant_get(v, "$.data.web", "array<variant>")
     return parsed.select(
         *[c for c in lines.columns if c != "value"],
+        *[F.try_variant_get(v, f"$.{name}", kind).alias(name) for name, kind in fields.items()],
         F.when(object_of(v).isNotNull(), text("type")).when(v.isNotNull(), F.lit("page")).alias("type"),
         F.filter(
             F.transform(web, lambda h: F.try_variant_get(h, "$", hit)), lambda h: h.isNotNull()
@@ -89,10 +94,10 @@ def stream_events_from_lines(lines: DataFrame) -> DataFrame:
         F.try_variant_get(v, "$.partial", "boolean").alias("partial"),
         get(v, "credits_used", "double").alias("credits_used"),
         text("id").alias("id"), text("code").alias("code"), text("message").alias("message"),
-        extra_of(v, ("type", "data", "partial", "credits_used", "id", "code", "message")).alias("extra"),
+        extra_of(v, ("type", "data", "partial", "credits_used", "id", "code", "message", *fields)).alias("extra"),
         F.when(v.isNull(), F.col("value")).alias("bad_line"),
     )
 
 
-def read_stream_events(spark: SparkSession, path: str) -> DataFrame:
-    return stream_events_from_lines(spark.read.text(path))
+def read_stream_events(spark: SparkSession, path: str, fields: Mapping[str, str] | None = None) -> DataFrame:
+    return stream_events_from_lines(spark.read.text(path), fields)
