@@ -5,6 +5,7 @@ Text is parsed once into a VARIANT. Keys may be camelCase or snake_case; unknown
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -25,7 +26,13 @@ _META_FIELDS = {
     "status_code": "int", "scrape_id": "string", "credits_used": "double", "cache_state": "string",
     "content_type": "string", "favicon": "string",
 }
-_WIRE = {snake: camel for camel, snake in KNOWN_KEYS.items()} | {"content_type": "contentType"}
+_WIRE = {snake: camel for camel, snake in KNOWN_KEYS.items()}
+
+
+def spellings(name: str) -> list[str]:
+    """A field's snake_case name and its name on the wire, where they differ."""
+    first, *rest = name.split("_")
+    return list(dict.fromkeys((name, _WIRE.get(name, first + "".join(p.title() for p in rest)))))
 
 
 def parse(df: DataFrame, col: str = "value", out: str = "body") -> DataFrame:
@@ -35,8 +42,7 @@ def parse(df: DataFrame, col: str = "value", out: str = "body") -> DataFrame:
 
 def get(v: Column, name: str, kind: str) -> Column:
     """A field under its snake_case or its wire name; NULL if missing or of another type."""
-    found = [F.try_variant_get(v, f"$.{n}", kind) for n in dict.fromkeys((name, _WIRE.get(name, name)))]
-    return F.coalesce(*found)
+    return F.coalesce(*[F.try_variant_get(v, f"$.{n}", kind) for n in spellings(name)])
 
 
 def object_of(v: Column) -> Column:
@@ -46,7 +52,7 @@ def object_of(v: Column) -> Column:
 
 def extra_of(v: Column, known: Iterable[str]) -> Column:
     """Unknown fields as JSON with snake_case keys, NULL if there are none."""
-    names = [n for k in known for n in dict.fromkeys((k, _WIRE.get(k, k)))]
+    names = [n for k in known for n in spellings(k)]
     rest = F.map_filter(object_of(v), lambda k, _: ~k.isin(names))
     return F.when(F.size(rest) > 0, snake_json_keys(F.to_json(rest)))
 
@@ -182,8 +188,6 @@ def _snake_type(t: T.DataType) -> T.DataType:
 
 def snake_name(name: str) -> str:
     """`camel_to_snake` for column names, which are known when the plan is made."""
-    import re
-
     if name in KNOWN_KEYS:
         return KNOWN_KEYS[name]
     if "_" in name and name == name.lower():

@@ -6,7 +6,7 @@ of terms.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,7 +66,7 @@ def _stand_in(entity: str, style: str, hit: Column) -> Column:
     return F.lit("")
 
 
-def _rewrite(text: Column, pattern: str, new: callable) -> Column:
+def _rewrite(text: Column, pattern: str, new: Callable[[Column], Column]) -> Column:
     """Replace every match by `new(match)`: the pieces between matches are zipped with the rewritten matches."""
     matches = F.transform(F.regexp_extract_all(text, F.lit(pattern), 1), new)
     return F.array_join(
@@ -77,20 +77,24 @@ def _rewrite(text: Column, pattern: str, new: callable) -> Column:
     )
 
 
+def luhn_ok(c: Column) -> Column:
+    return F.call_function("luhn_check", c)
+
+
+def _replace_card(style: str) -> Callable[[Column], Column]:
+    return lambda m: F.when(luhn_ok(m), _stand_in("FINANCIAL", style, m)).otherwise(m)
+
+
 def redact_text(text: Column, option: bool | Mapping | None = True) -> Column:
     opt = normalise_option(option)
     if opt is None:
         return text
     style = opt["replaceStyle"]
     for entity, pattern in patterns(opt["mode"], opt["entities"]):
-        checked = entity == "FINANCIAL" and opt["mode"] == "accurate"
-        if checked:
-            text = _rewrite(
-                text, pattern,
-                lambda m, e=entity: F.when(F.luhn_check(m), _stand_in(e, style, m)).otherwise(m),
-            )
+        if entity == "FINANCIAL" and opt["mode"] == "accurate":
+            text = _rewrite(text, pattern, _replace_card(style))
         elif style == "mask":
-            text = _rewrite(text, pattern, lambda m, e=entity: _stand_in(e, "mask", m))
+            text = _rewrite(text, pattern, lambda m: _stand_in(entity, "mask", m))
         else:
             text = F.regexp_replace(text, pattern, f"[{entity}]" if style == "tag" else "")
     return text
@@ -100,6 +104,10 @@ def redact(df: DataFrame, col: str, option: bool | Mapping | None = True) -> Dat
     return df.withColumn(col, redact_text(F.col(col), option))
 
 
+def _hit_row(entity: str) -> Callable[[Column, Column], Column]:
+    return lambda v, i: F.struct(F.lit(entity).alias("entity"), i.alias("pos"), v.alias("value"))
+
+
 def find_pii(df: DataFrame, id_col: str, col: str, option: bool | Mapping = True) -> DataFrame:
     """What the patterns find, as rows `(id, entity, pos, value)`; `pos` counts the entity's hits in the text.
 
@@ -110,15 +118,8 @@ def find_pii(df: DataFrame, id_col: str, col: str, option: bool | Mapping = True
     for entity, pattern in patterns(opt["mode"], opt["entities"]):
         hits = F.regexp_extract_all(F.col(col), F.lit(pattern), 1)
         if entity == "FINANCIAL" and opt["mode"] == "accurate":
-            hits = F.filter(hits, F.luhn_check)
-        found.append(
-            F.transform(
-                hits,
-                lambda v, i, e=entity: F.struct(
-                    F.lit(e).alias("entity"), i.alias("pos"), v.alias("value")
-                ),
-            )
-        )
+            hits = F.filter(hits, luhn_ok)
+        found.append(F.transform(hits, _hit_row(entity)))
     if not found:
         found = [F.array().cast("array<struct<entity: string, pos: int, value: string>>")]
     return df.select(id_col, F.inline(F.concat(*found)))
@@ -127,6 +128,14 @@ def find_pii(df: DataFrame, id_col: str, col: str, option: bool | Mapping = True
 _WORD = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
 
 
+def _span(n: int) -> Callable[[Column, Column], Column]:
+    """The `n` words and separators from place `i` on, as a candidate term; shorter at the end of the text."""
+    return lambda word, i: F.struct(
+        i.alias("first"), (i + n - 1).alias("last"),
+        (word if n == 1 else F.array_join(F.slice(F.col("_w"), i + 1, F.lit(n)), "")).alias("_term"),
+    )
+
+
 def find_terms(df: DataFrame, id_col: str, col: str, terms: DataFrame, term: str = "term") -> DataFrame:
     """Where the terms stand in the texts: `(id, first, last)`, places in the word/separator sequence of the text.
 
@@ -137,23 +146,11 @@ def find_terms(df: DataFrame, id_col: str, col: str, terms: DataFrame, term: str
     sized = terms.select(F.col(term).alias("_term"), F.size(pieces).alias("_len")).where("_len > 0").distinct()
     lengths = sorted(r["_len"] for r in sized.select("_len").distinct().limit(64).collect())
     words = df.select(id_col, F.regexp_extract_all(F.col(col), F.lit(_WORD), 1).alias("_w"))
-    spans = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.sequence(F.lit(0), F.greatest(F.size("_w") - n, F.lit(0))),
-                    lambda i, n=n: F.struct(
-                        i.alias("first"), (i + n - 1).alias("last"),
-                        F.array_join(F.slice(F.col("_w"), i + 1, F.lit(n)), "").alias("_term"),
-                    ),
-                )
-                for n in lengths
-            ]
-        )
-    )
     if not lengths:
         return df.select(id_col, F.lit(0).alias("first"), F.lit(0).alias("last")).where(F.lit(False))
-    candidates = words.select(id_col, F.inline(spans)).where(F.col("_term").rlike(r"[\p{L}\p{N}_]"))
+    spans = F.array(*[F.transform("_w", _span(n)) for n in lengths])
+    candidates = words.select(id_col, F.explode(spans).alias("_s")).select(id_col, F.inline("_s"))
+    candidates = candidates.where(F.col("_term").rlike(r"[\p{L}\p{N}_]"))
     return bounded_join(
         candidates, sized.select("_term"), "_term", "left_semi", [id_col, "first", "last"]
     ).select(id_col, "first", "last")

@@ -33,12 +33,14 @@ class Index:
     docs: DataFrame
 
     def write(self, path: str) -> None:
-        """Keep the index as tables. Postings are range-split on (term, page_id): files can be skipped by term, and a
-        term found nearly everywhere still spans many files."""
-        self.postings.repartitionByRange("term", "page_id").sortWithinPartitions("term", "page_id").write.parquet(
-            f"{path}/postings"
-        )
-        self.terms.write.parquet(f"{path}/terms")
+        """Keep the index as tables, so that pages are cut into words once however many searches follow.
+
+        Postings are sorted by term in each file, so row groups can be skipped by term; terms are counted from what
+        was written.
+        """
+        self.postings.sortWithinPartitions("term").write.parquet(f"{path}/postings")
+        written = self.postings.sparkSession.read.parquet(f"{path}/postings")
+        corpus_stats(written).write.parquet(f"{path}/terms")
         self.docs.write.parquet(f"{path}/docs")
 
     @classmethod
