@@ -52,10 +52,10 @@ def markdown(cleaned: Column) -> Column:
     for pattern, replacement in _MARKDOWN_STEPS:
         c = F.regexp_replace(c, pattern, replacement)
     c = decode_entities(c)
-    c = F.regexp_replace(c, r"[ \t]+", " ")
+    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
     c = F.regexp_replace(c, r" ?\n ?", "\n")
     c = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.trim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def plain_text(cleaned: Column) -> Column:
@@ -92,7 +92,15 @@ def images(cleaned: Column, base: Column) -> Column:
 
 
 def emails(cleaned: Column) -> Column:
-    """Addresses in the text, then those of `mailto:` links, each once."""
+    """Addresses in the text, then those of `mailto:` links, each once. Pages without an `@` are not searched."""
+    return F.when(cleaned.contains("@"), _emails(cleaned)).otherwise(F.when(cleaned.isNotNull(), _no_strings()))
+
+
+def _no_strings() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _emails(cleaned: Column) -> Column:
     in_text = F.regexp_extract_all(plain_text(cleaned), F.lit(f"({_EMAIL})"), 1)
     hrefs = F.transform(tags(cleaned, "a"), lambda t: decode_entities(attribute(t, "href")))
     mailto = F.transform(

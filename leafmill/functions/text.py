@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Spark's trim() strips blanks only; request validation strips every kind of whitespace.
-SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+# Every whitespace character. Spark's trim() strips blanks only unless it is told what to strip.
+SPACES = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 # Named entities decoded in page text; `&amp;` comes last so nothing is decoded twice.
 ENTITIES = (
@@ -23,12 +27,12 @@ ENTITIES = (
 
 def strip_space(c: Column) -> Column:
     """Strip all leading and trailing whitespace, newlines and Unicode spaces included."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.trim(c, F.lit(SPACES))
 
 
 def collapse_space(c: Column) -> Column:
-    """Every run of whitespace becomes one blank; the ends are stripped."""
-    return F.trim(F.regexp_replace(c, rf"{SPACE}+", " "))
+    """Every run of whitespace becomes one blank; the ends are stripped. Single blanks are not touched."""
+    return F.trim(F.regexp_replace(c, rf"{_SPACE}{{2,}}|{_SPACE[:-1]}&&[^ ]]", " "))
 
 
 def decode_entities(c: Column) -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from leafmill.functions.html import let
 from leafmill.plans.skew import bounded_join
 from leafmill.schemas import ENTITIES, REDACT_MODES, REPLACE_STYLES
 
@@ -77,6 +78,12 @@ def _rewrite(text: Column, pattern: str, new: Callable[[Column], Column]) -> Col
     )
 
 
+def _may_hold(text: Column, entity: str, mode: str) -> Column:
+    """A cheap test that a text can have hits: a literal every match contains, else a search for the first match."""
+    literal = {"SECRET": 'token = "', "EMAIL": "@", "PHONE": None if mode == "aggressive" else "+1 ("}.get(entity)
+    return text.contains(literal) if literal else text.rlike(dict(patterns(mode))[entity])
+
+
 def luhn_ok(c: Column) -> Column:
     return F.call_function("luhn_check", c)
 
@@ -91,13 +98,21 @@ def redact_text(text: Column, option: bool | Mapping | None = True) -> Column:
         return text
     style = opt["replaceStyle"]
     for entity, pattern in patterns(opt["mode"], opt["entities"]):
-        if entity == "FINANCIAL" and opt["mode"] == "accurate":
-            text = _rewrite(text, pattern, _replace_card(style))
+        text = let(text, _redact_step(entity, pattern, opt["mode"], style))
+    return text
+
+
+def _redact_step(entity: str, pattern: str, mode: str, style: str) -> Callable[[Column], Column]:
+    def step(text: Column) -> Column:
+        if entity == "FINANCIAL" and mode == "accurate":
+            changed = _rewrite(text, pattern, _replace_card(style))
         elif style == "mask":
-            text = _rewrite(text, pattern, lambda m: _stand_in(entity, "mask", m))
+            changed = _rewrite(text, pattern, lambda m: _stand_in(entity, "mask", m))
         else:
-            text = F.regexp_replace(text, pattern, f"[{entity}]" if style == "tag" else "")
-    return text
+            changed = F.regexp_replace(text, pattern, f"[{entity}]" if style == "tag" else "")
+        return F.when(_may_hold(text, entity, mode), changed).otherwise(text)
+
+    return step
 
 
 def redact(df: DataFrame, col: str, option: bool | Mapping | None = True) -> DataFrame:
@@ -116,7 +131,9 @@ def find_pii(df: DataFrame, id_col: str, col: str, option: bool | Mapping = True
     opt = normalise_option(option)
     found = []
     for entity, pattern in patterns(opt["mode"], opt["entities"]):
-        hits = F.regexp_extract_all(F.col(col), F.lit(pattern), 1)
+        hits = F.when(
+            _may_hold(F.col(col), entity, opt["mode"]), F.regexp_extract_all(F.col(col), F.lit(pattern), 1)
+        ).otherwise(F.array().cast("array<string>"))
         if entity == "FINANCIAL" and opt["mode"] == "accurate":
             hits = F.filter(hits, luhn_ok)
         found.append(F.transform(hits, _hit_row(entity)))

@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Python call sites are not recorded per expression: plans of many expressions are put together faster.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

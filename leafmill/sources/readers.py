@@ -13,10 +13,17 @@ from leafmill.operators.envelopes import (
     batch_documents, documents_from_envelopes, errors_from_bodies, extra_of, get, hits_from_envelopes, object_of,
     parse,
 )
+from leafmill.plans.spread import spread
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).select("page_id", "url", "html")
+    """Landed pages `(page_id, url, html)`."""
+    return spread(spark.read.parquet(path).select("page_id", "url", "html"))
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """A table of long texts, whatever its columns."""
+    return spread(spark.read.parquet(path))
 
 
 def json_lines(lines: DataFrame, col: str = "value") -> DataFrame:

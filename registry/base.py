@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from leafmill.sources.readers import read_texts
+
 
 class Entries:
     def __init__(self):
@@ -20,7 +22,8 @@ class Entries:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return read_texts(spark, path) if name in ("pages", "documents") else spark.read.parquet(path)
 
 
 # Request table over pages: blank, padded and unknown URLs among good ones.
