@@ -1,8 +1,8 @@
 """Pages as node tables, and selector-extracted fields.
 
 A page is cut into tokens that cover all of its cleaned HTML. Pages are spread by page_id *before* they are cut, so
-the windows below (all bound to one page) need no further shuffle. Text is never carried through the windows: an
-element is a pair of character offsets, and its text is cut out of the page once the match is known.
+the windows below (all bound to one page) need no further shuffle. Text is not carried through the windows: an element
+is a pair of character offsets, and its text is cut out of the page once the match is known.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ SELF_CLOSED_BY_NEXT = ("p", "li", "dt", "dd", "option")
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """`(page_id, pos, offset, length, kind, tag, token)`; kind is open, close, void, text or other."""
+    """`(page_id, pos, offset, length, kind, tag, attrs, text)`; kind is open, close, void, text or other."""
     spread = pages.select("page_id", "html").repartition("page_id")
     cut = spread.select(
         "page_id",
@@ -37,21 +37,22 @@ def page_tokens(pages: DataFrame) -> DataFrame:
     )
     token = F.col("token")
     tag = F.lower(F.regexp_extract(token, r"^</?([A-Za-z][^\s/>]*)", 1))
-    is_tag = token.rlike(r"^</?[A-Za-z]")
+    second = F.substring(token, 2, 1)
+    is_tag = token.startswith("<") & (F.length(token) > 1) & ~second.isin("!", "?")
     kind = (
-        F.when(is_tag & token.startswith("</"), "close")
-        .when(is_tag & (tag.isin(*VOID_TAGS) | token.endswith("/>")), "void")
-        .when(is_tag, "open")
-        .when(token.rlike(r"^<[!?]"), "other")
-        .otherwise("text")
+        F.when(~token.startswith("<") | (F.length(token) == 1), "text")
+        .when(second == "/", "close")
+        .when(second.isin("!", "?"), "other")
+        .when(token.endswith("/>") | tag.isin(*VOID_TAGS), "void")
+        .otherwise("open")
     )
-    in_page = W.partitionBy("page_id").orderBy("pos")
+    has_attrs = kind.isin("open", "void") & token.rlike(r"\s[A-Za-z_:]")
+    in_page = W.partitionBy("page_id").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    length = F.length(token)
     return cut.select(
-        "page_id", "pos", F.length(token).alias("length"), kind.alias("kind"),
-        F.when(is_tag, tag).alias("tag"), token.alias("token"),
-    ).withColumn(
-        "offset", F.sum("length").over(in_page.rowsBetween(W.unboundedPreceding, 0)) - F.col("length")
-    )
+        "page_id", "pos", length.alias("length"), kind.alias("kind"), F.when(is_tag, tag).alias("tag"),
+        F.when(has_attrs, _attrs(token)).alias("attrs"), F.when(kind == "text", decode_entities(token)).alias("text"),
+    ).withColumn("offset", F.sum("length").over(in_page) - F.col("length"))
 
 
 def _attrs(token: Column) -> Column:
@@ -73,21 +74,10 @@ def _attrs(token: Column) -> Column:
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
-    """Tokens with `id`, `classes` and `attrs` on opening tags, and `text` on text tokens."""
-    tokens = page_tokens(pages)
-    has_attrs = F.col("kind").isin("open", "void")
-    return (
-        tokens.withColumn("attrs", F.when(has_attrs, _attrs(F.col("token"))))
-        .withColumn("id", F.col("attrs")["id"])
-        .withColumn(
-            "classes",
-            F.when(
-                has_attrs,
-                F.filter(F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+"), lambda c: c != ""),
-            ),
-        )
-        .withColumn("text", F.when(F.col("kind") == "text", decode_entities(F.col("token"))))
-        .drop("token")
+    """Tokens with `id`, `classes` and `attrs` on tags that have attributes, and `text` on text tokens."""
+    classes = F.filter(F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+"), lambda c: c != "")
+    return page_tokens(pages).withColumns(
+        {"id": F.col("attrs")["id"], "classes": F.when(F.col("attrs").isNotNull(), classes)}
     )
 
 
@@ -106,10 +96,10 @@ def page_elements(pages: DataFrame) -> DataFrame:
     by_tag = W.partitionBy("page_id", "tag").orderBy("pos")
     depth = F.sum(step).over(by_tag.rowsBetween(W.unboundedPreceding, 0))
     rows = rows.withColumn("_level", F.when(F.col("kind") == "close", depth + 1).otherwise(depth))
-    is_void = F.col("kind") == "void"
-    pair = W.partitionBy("page_id", "tag", is_void, "_level").orderBy("pos")
-    rows = rows.withColumn("_next", F.lead(F.struct("kind", "pos", "offset")).over(pair)).withColumn(
-        "_previous", F.lag("kind").over(pair)
+    rows = rows.withColumn("_void", F.col("kind") == "void")
+    pair = W.partitionBy("page_id", "tag", "_void", "_level").orderBy("pos")
+    rows = rows.withColumns(
+        {"_next": F.lead(F.struct("kind", "pos", "offset")).over(pair), "_previous": F.lag("kind").over(pair)}
     )
     paired = ((F.col("kind") == "open") & (F.col("_next.kind") == "close")) | (
         (F.col("kind") == "close") & (F.col("_previous") == "open")
@@ -121,19 +111,22 @@ def page_elements(pages: DataFrame) -> DataFrame:
     depth = F.sum(F.when(F.col("_paired"), step).otherwise(0)).over(in_page.rowsBetween(W.unboundedPreceding, 0))
     closing = F.col("_paired") & (F.col("kind") == "close")
     rows = rows.withColumn("_around", F.when(closing, depth + 1).otherwise(depth))
-    later = W.partitionBy("page_id", "_around").orderBy("pos").rowsBetween(1, W.unboundedFollowing)
     at = F.struct("pos", "offset")
-    outer = F.first(F.when(closing, at), ignorenulls=True).over(later)
-    next_same = F.first(F.when(F.col("kind") == "open", at), ignorenulls=True).over(
-        by_tag.rowsBetween(1, W.unboundedFollowing)
-    )
+
+    def following(found: Column, *keys: str) -> Column:
+        # Read backwards: a frame that grows is linear, one that shrinks towards the end is not.
+        backwards = W.partitionBy("page_id", *keys).orderBy(F.desc("pos")).rowsBetween(W.unboundedPreceding, -1)
+        return F.last(F.when(found, at), ignorenulls=True).over(backwards)
+
+    outer = following(closing, "_around")
+    next_same = following(F.col("kind") == "open", "tag")
     rows = rows.withColumn("_outer", outer).withColumn(
         "_same", F.when(F.col("tag").isin(*SELF_CLOSED_BY_NEXT), next_same)
     )
     page_close = F.struct(F.lit(2**31 - 1).alias("pos"), F.col("_page_end").alias("offset"))
     unpaired_end = F.coalesce(F.least(F.col("_same"), F.col("_outer")), page_close)
     end = (
-        F.when(is_void, F.struct(F.col("pos"), (F.col("offset") + F.col("length")).alias("offset")))
+        F.when(F.col("_void"), F.struct(F.col("pos"), (F.col("offset") + F.col("length")).alias("offset")))
         .when(F.col("_paired"), F.struct("_next.pos", "_next.offset"))
         .otherwise(unpaired_end)
     )
@@ -332,7 +325,7 @@ def match_rule_table(nodes: DataFrame, rules: DataFrame) -> DataFrame:
     keys = F.array_compact(
         F.concat(
             F.array(F.col("tag"), F.concat(F.lit("#"), F.col("id"))),
-            F.transform("classes", lambda c: F.concat(F.lit("."), c)),
+            F.transform(F.coalesce("classes", F.array().cast("array<string>")), lambda c: F.concat(F.lit("."), c)),
         )
     )
     opened = nodes.where(F.col("kind").isin("open", "void"))

@@ -32,21 +32,6 @@ class Index:
     terms: DataFrame
     docs: DataFrame
 
-    def write(self, path: str) -> None:
-        """Keep the index as tables, so that pages are cut into words once however many searches follow.
-
-        Postings are sorted by term in each file, so row groups can be skipped by term; terms are counted from what
-        was written.
-        """
-        self.postings.sortWithinPartitions("term").write.parquet(f"{path}/postings")
-        written = self.postings.sparkSession.read.parquet(f"{path}/postings")
-        corpus_stats(written).write.parquet(f"{path}/terms")
-        self.docs.write.parquet(f"{path}/docs")
-
-    @classmethod
-    def read(cls, spark: SparkSession, path: str) -> Index:
-        return cls(*[spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "docs")])
-
 
 def _page_words(pages: DataFrame) -> DataFrame:
     cleaned = H.clean_html(F.col("html"))
@@ -55,9 +40,30 @@ def _page_words(pages: DataFrame) -> DataFrame:
     ).withColumn("doc_len", F.size("_words").cast("bigint"))
 
 
+def saved_index(pages: DataFrame, path: str) -> Index:
+    """Build the index under `path`. Pages are cut into words once: the words are written first, and postings and
+    page lengths are taken from there."""
+    _page_words(pages).write.parquet(f"{path}/words")
+    words = pages.sparkSession.read.parquet(f"{path}/words")
+    postings = index_words(words).postings
+    postings.sortWithinPartitions("term").write.parquet(f"{path}/postings")
+    postings = pages.sparkSession.read.parquet(f"{path}/postings")
+    corpus_stats(postings).write.parquet(f"{path}/terms")
+    return read_index(pages.sparkSession, path)
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    tables = {part: spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "words")}
+    return Index(tables["postings"], tables["terms"], tables["words"].drop("_words"))
+
+
 def build_index(pages: DataFrame) -> Index:
+    """The index as a plan; `saved_index` keeps it for many searches."""
+    return index_words(_page_words(pages))
+
+
+def index_words(words: DataFrame) -> Index:
     """Postings by one aggregation on (page, term); a page's words are combined before the shuffle."""
-    words = _page_words(pages)
     postings = (
         words.select("page_id", "language", "doc_len", F.explode("_words").alias("term"))
         .groupBy("term", "page_id", "language", "doc_len")

@@ -27,7 +27,7 @@ def _splitters(df: DataFrame, key: str, order: Sequence[str], heavy: list, piece
     sample = rows.join(F.broadcast(sizes), key).where(hit)
     points = sample.groupBy(key).agg(F.sort_array(F.collect_list("_at")).alias("_points"))
     every = F.filter(F.col("_points"), lambda p, i: i % _OVERSAMPLE == 0)
-    return points.select(key, every.alias("_cuts"))
+    return points.select(F.col(key).alias("_cut_key"), every.alias("_cuts"))
 
 
 def running_sum(
@@ -58,18 +58,20 @@ def running_sum(
     at = F.struct(*order)
     passed = F.aggregate("_cuts", F.lit(0), lambda n, c: n + F.when(c <= at, F.lit(1)).otherwise(F.lit(0)))
     parted = (
-        df.join(F.broadcast(cuts), df[key].eqNullSafe(cuts[key]), "left")
-        .drop(cuts[key])
+        df.join(F.broadcast(cuts), F.col(key) == F.col("_cut_key"), "left")
         .withColumn("_piece", F.coalesce(passed, F.lit(0)))
-        .drop("_cuts")
+        .drop("_cut_key", "_cuts")
     )
     totals = parted.where(F.col(key).isin(heavy)).groupBy(key, "_piece").agg(F.sum("_v").alias("_total"))
     before = W.partitionBy(key).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
-    carry = totals.select(key, "_piece", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carry"))
+    carry = totals.select(
+        F.col(key).alias("_cut_key"), F.col("_piece").alias("_at"),
+        F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carry"),
+    )
     w = W.partitionBy(key, "_piece").orderBy(*order).rowsBetween(W.unboundedPreceding, last)
     local = parted.withColumn(out, F.coalesce(F.sum("_v").over(w), F.lit(0)))
     return (
-        local.join(F.broadcast(carry), [key, "_piece"], "left")
+        local.join(F.broadcast(carry), (F.col(key) == F.col("_cut_key")) & (F.col("_piece") == F.col("_at")), "left")
         .withColumn(out, F.col(out) + F.coalesce("_carry", F.lit(0)))
-        .drop("_v", "_piece", "_carry")
+        .drop("_v", "_piece", "_cut_key", "_at", "_carry")
     )

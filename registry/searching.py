@@ -50,11 +50,16 @@ def _pages(spark, d):
     return table(spark, d, "pages")
 
 
+_INDEXES = {}
+
+
 def _index(spark, d):
-    """The index of all pages, built once per query and kept in the shared folder."""
-    path = f"{checkpoint_root(spark)}/index-{uuid.uuid4().hex}"
-    Q.build_index(_pages(spark, d)).write(path)
-    return Q.Index.read(spark, path)
+    """The index of all pages, built once per session and kept in the shared folder, as searches would use it."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _INDEXES:
+        _INDEXES[key] = f"{checkpoint_root(spark)}/index-{uuid.uuid4().hex}"
+        Q.saved_index(_pages(spark, d), _INDEXES[key])
+    return Q.read_index(spark, _INDEXES[key])
 
 
 def _queries(spark, d):
