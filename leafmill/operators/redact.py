@@ -157,11 +157,12 @@ def find_terms(df: DataFrame, id_col: str, col: str, terms: DataFrame, term: str
     """Where the terms stand in the texts: `(id, first, last)`, places in the word/separator sequence of the text.
 
     Terms match whole words, exactly as written, and may span several words. Texts are joined with the terms on the
-    term itself, once per term length that occurs, so this grows with the text and not with texts * terms.
+    term itself, once per term length that occurs (those few numbers are read first), so this grows with the text and
+    not with texts * terms.
     """
     pieces = F.regexp_extract_all(F.col(term), F.lit(_WORD), 1)
     sized = terms.select(F.col(term).alias("_term"), F.size(pieces).alias("_len")).where("_len > 0").distinct()
-    lengths = sorted(r["_len"] for r in sized.select("_len").distinct().limit(64).collect())
+    lengths = sorted(r["_len"] for r in sized.select("_len").distinct().collect())
     words = df.select(id_col, F.regexp_extract_all(F.col(col), F.lit(_WORD), 1).alias("_w"))
     if not lengths:
         return df.select(id_col, F.lit(0).alias("first"), F.lit(0).alias("last")).where(F.lit(False))

@@ -73,19 +73,19 @@ def e08(spark, d):
 
 
 def _search_envelopes(spark, d):
-    """A search response per conversation: its turns as hits. A conversation is one response, as long as it is."""
-    turns = table(spark, d, "conversations")
+    """Search responses from conversations: up to 100 turns are the hits of one response."""
+    turns = table(spark, d, "conversations").withColumn("part", F.floor(F.col("turn") / 100))
     hit = F.struct(
         F.concat(F.lit("https://c/"), F.col("turn").cast("string")).alias("url"), F.col("role").alias("title"),
         F.col("text").alias("description"), F.when(F.col("turn") % 2 == 0, F.col("turn") + 1).alias("position"),
         F.length("text").alias("textLength"),
     )
-    grouped = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", hit.alias("hit")))).alias("_h"))
+    grouped = turns.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("turn", hit.alias("hit")))).alias("_h"))
     body = F.struct(
         F.when(F.col("conv_id") % 3 > 0, F.lit(1.0)).alias("creditsUsed"),
         F.concat(F.lit("serp_"), F.col("conv_id").cast("string")).alias("id"), F.struct(F.col("_h.hit").alias("web")).alias("data"),
     )
-    return _parsed(grouped, F.to_json(body), "conv_id")
+    return _parsed(grouped, F.to_json(body), "conv_id", "part")
 
 
 @add(
@@ -96,12 +96,12 @@ def _search_envelopes(spark, d):
       '{"text_length":' || length(text) || '}' as extra from conversations""",
 )
 def s04(spark, d):
-    return E.hits_from_envelopes(_search_envelopes(spark, d)).drop("idx", "success")
+    return E.hits_from_envelopes(_search_envelopes(spark, d)).drop("idx", "part", "success")
 
 
 @add(
     "e04_hits",
-    """select conv_id, cast(row_number() over (partition by conv_id order by turn) - 1 as int) as idx,
+    """select conv_id, cast(row_number() over (partition by conv_id, turn // 100 order by turn) - 1 as int) as idx,
       'https://c/' || turn as url from conversations""",
 )
 def e04(spark, d):

@@ -1,0 +1,56 @@
+import pytest
+
+from leafmill.operators import redact as R
+
+TEXT = (
+    'ann@ex.org, +1 (555) 123-4567; card 4316522678525456 and 4316522678525457 token = "%s" 10.20.30.40 (555) 123-4567'
+    % ("0a" * 20)
+)
+
+
+@pytest.fixture
+def docs(spark):
+    return spark.createDataFrame([(1, TEXT), (2, "nothing here"), (3, None)], "id int, text string")
+
+
+def one(df):
+    return [r["text"] for r in df.orderBy("id").collect()]
+
+
+def test_options(docs):
+    full = one(R.redact(docs, "text", True))
+    assert full[0] == (
+        "[EMAIL], [PHONE]; card [FINANCIAL] and 4316522678525457 [SECRET] 10.20.30.40 (555) 123-4567"
+    )
+    assert full[1:] == ["nothing here", None]
+    assert one(R.redact(docs, "text", False))[0] == TEXT == one(R.redact(docs, "text", None))[0]
+    loose = one(R.redact(docs, "text", {"mode": "aggressive", "replaceStyle": "remove"}))[0]
+    assert loose == ", ; card  and   10.20.30.40 "
+    masked = one(R.redact(docs, "text", {"entities": ["EMAIL", "FINANCIAL"], "replaceStyle": "mask"}))[0]
+    assert masked.startswith("*" * 10 + ", +1") and "card " + "*" * 16 + " and 4316522678525457" in masked
+    fast = one(R.redact(docs, "text", {"mode": "fast"}))[0]
+    assert "4316522678525456" in fast and "[SECRET]" in fast
+
+
+@pytest.mark.parametrize("bad", [{"mode": "slow"}, {"entities": ["NAME"]}, {"replaceStyle": "blur"}])
+def test_bad_options(bad):
+    with pytest.raises(ValueError):
+        R.normalise_option(bad)
+
+
+def test_find(docs, rows):
+    got = {(r["entity"], r["pos"], r["value"]) for r in rows(R.find_pii(docs, "id", "text"))}
+    assert ("EMAIL", 0, "ann@ex.org") in got and ("FINANCIAL", 0, "4316522678525456") in got and len(got) == 4
+
+
+def test_terms(spark):
+    docs = spark.createDataFrame(
+        [(1, "Ana of New York City met Ana-Lu in York; New Yorker."), (2, "none"), (3, None), (4, "")],
+        "id int, text string",
+    )
+    terms = spark.createDataFrame([("Ana",), ("New York",), ("New York City",), ("York",), ("in York; New",)], "term string")
+    want = "[LOCATION] of [LOCATION] met [LOCATION]-Lu [LOCATION] Yorker."
+    assert one(R.redact_terms(docs, "id", "text", terms, "LOCATION")) == [want, "none", None, ""]
+    masked = one(R.redact_terms(docs, "id", "text", terms.where("term = 'Ana'"), "PERSON", style="mask"))
+    assert masked[0] == "*** of New York City met ***-Lu in York; New Yorker."
+    assert one(R.redact_terms(docs, "id", "text", terms.limit(0), "PERSON"))[0].startswith("Ana of")
