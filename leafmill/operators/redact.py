@@ -161,14 +161,14 @@ def find_terms(df: DataFrame, id_col: str, col: str, terms: DataFrame, term: str
     not with texts * terms.
     """
     pieces = F.regexp_extract_all(F.col(term), F.lit(_WORD), 1)
-    sized = terms.select(F.col(term).alias("_term"), F.size(pieces).alias("_len")).where("_len > 0").distinct()
+    sized = terms.select(F.col(term).alias("_term"), F.size(pieces).alias("_len"))
+    sized = sized.where(F.col("_term").rlike(r"[\p{L}\p{N}_]")).distinct()
     lengths = sorted(r["_len"] for r in sized.select("_len").distinct().collect())
     words = df.select(id_col, F.regexp_extract_all(F.col(col), F.lit(_WORD), 1).alias("_w"))
     if not lengths:
         return df.select(id_col, F.lit(0).alias("first"), F.lit(0).alias("last")).where(F.lit(False))
     spans = F.array(*[F.transform("_w", _span(n)) for n in lengths])
     candidates = words.select(id_col, F.explode(spans).alias("_s")).select(id_col, F.inline("_s"))
-    candidates = candidates.where(F.col("_term").rlike(r"[\p{L}\p{N}_]"))
     return bounded_join(
         candidates, sized.select("_term"), "_term", "left_semi", [id_col, "first", "last"]
     ).select(id_col, "first", "last")
@@ -192,7 +192,7 @@ def redact_terms(
         ).otherwise(acc),
     )
     joined = df.join(per_text, id_col, "left").withColumn("_kept", kept)
-    words = F.regexp_extract_all(F.col(col), F.lit(_WORD), 1)
+    words = F.when(F.size("_kept") > 0, F.regexp_extract_all(F.col(col), F.lit(_WORD), 1))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:

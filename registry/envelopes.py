@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import snake_json_keys
 from leafmill.operators import envelopes as E
+from leafmill.plans.spread import spread
 from leafmill.sources import readers as R
 from registry.base import Entries, request_log, stream_events, table, with_views
 
@@ -15,6 +16,11 @@ def _parsed(df, text, *keep):
     return E.parse(df.select(*keep, text.alias("value"))).drop("value")
 
 
+def _events(spark, d):
+    """Building and parsing JSON is work per row, so a small table is spread over the cores first."""
+    return spread(table(spark, d, "events"))
+
+
 def _scrape_envelopes(spark, d):
     """A scrape response per page: every fifth without `data` around the document, some with an error."""
     meta = F.struct(
@@ -152,7 +158,7 @@ def e06(spark, d):
 
 def _log_lines(spark, d):
     """Log rows as JSON lines: some with the URL as an object, some with a status in words."""
-    log = request_log(spark, d)
+    log = spread(request_log(spark, d))
     url = F.when(F.col("event_id") % 6 == 0, F.to_json(F.struct(F.struct("url").alias("req")))).otherwise(
         F.to_json(F.struct("url"))
     )
@@ -221,7 +227,7 @@ EVENTS_SQL = with_views(
 
 @add("s07_read_stream_events", EVENTS_SQL)
 def s07(spark, d):
-    lines = stream_events(spark, d)
+    lines = spread(stream_events(spark, d))
     blank = lines.where("type = 'done'").select(F.lit("  ").alias("value"))  # blank lines are skipped
     events = R.stream_events_from_lines(lines.select(event_lines(lines).alias("value")).unionAll(blank), EVENT_FIELDS)
     return events.select(
@@ -244,7 +250,7 @@ def e07(spark, d):
         F.lit('{"eventId":'), F.col("event_id").cast("string"), F.lit(',"eventInfo":{"eventType":"'), F.col("event_type"),
         F.lit('","kList":['), info["_k"][0], F.lit(',"rawHtml"]},"sourceURL":"'), F.col("event_type"), F.lit('"}'),
     )
-    return table(spark, d, "events").select(
+    return _events(spark, d).select(
         "event_id", snake_json_keys(F.to_json(F.try_parse_json(raw))).alias("json")
     )
 

@@ -30,6 +30,18 @@ def _landed_events(spark, d, folder):
     return Z.stream_events(spark, f"{folder}/in", EVENT_FIELDS)
 
 
+@add(
+    "s08_stream_events",
+    with_views("select type, count(*) as n, count(hit_url) as hits from stream_events group by type", "stream_events"),
+)
+def s08(spark, d):
+    folder = _folder(spark, "s08")
+    events = _run(spark, _landed_events(spark, d, folder), folder)
+    return events.groupBy("type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(F.size("web"), F.lit(0))).cast("bigint").alias("hits")
+    )
+
+
 @add("z01_stream_events", EVENTS_SQL)
 def z01(spark, d):
     folder = _folder(spark, "z01")
@@ -50,24 +62,43 @@ def z02(spark, d):
     return _run(spark, hits, folder).select("event_id", "user_id", "idx", "url")
 
 
+def _closing_event(events, years):
+    """An event of no request, far after all others: it moves the watermark on."""
+    ts = events.agg(F.max("ts").alias("ts")).select((F.col("ts") + F.expr(f"interval {years} years")).alias("ts"))
+    return ts.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema])
+
+
+def _fold_in_turn(spark, folder, *landings):
+    """Land each table in turn and work off what is there; the folded requests of all runs."""
+    schema = landings[0].schema
+    for rows in landings:
+        rows.write.mode("append").parquet(f"{folder}/in")
+        folded = Z.fold_stream(spark.readStream.schema(schema).parquet(f"{folder}/in"), silence="3650 days")
+        Z.run_available(folded, f"{folder}/out", f"{folder}/state")
+    out = spark.read.schema(folded.schema).parquet(f"{folder}/out")
+    return out.where("request_id is not null").drop("partial", "message")
+
+
+def _timed_events(spark, d):
+    return requests_of_events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @add("z03_fold_stream", FOLD_SQL)
 def z03(spark, d):
-    """Requests are folded when they have been silent long enough; a last event far in the future closes them all."""
-    folder = _folder(spark, "z03")
-    events = requests_of_events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    events.write.parquet(f"{folder}/in")
-    source = lambda: spark.readStream.schema(events.schema).parquet(f"{folder}/in")
-    folded = lambda: Z.fold_stream(source(), silence="3650 days")
-    Z.run_available(folded(), f"{folder}/out", f"{folder}/state")
-    for years in (20, 40):
-        last = events.agg(F.max("ts").alias("ts")).select(
-            F.lit(None).cast("bigint").alias("event_id"), (F.col("ts") + F.expr(f"interval {years} years")).alias("ts")
-        )
-        columns = [F.col(f.name) if f.name in last.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in events.schema]
-        last.select(*columns).write.mode("append").parquet(f"{folder}/in")
-        Z.run_available(folded(), f"{folder}/out", f"{folder}/state")
-    out = spark.read.schema(folded().schema).parquet(f"{folder}/out")
-    return out.where("request_id is not null").drop("partial", "message")
+    """Requests are folded when they have been silent long enough; two last events close them all."""
+    events = _timed_events(spark, d)
+    return _fold_in_turn(spark, _folder(spark, "z03"), events, _closing_event(events, 20), _closing_event(events, 40))
+
+
+@add("z06_late_data", FOLD_SQL.replace("from session_events group by", "from session_events where hit_url is null group by"))
+def z06(spark, d):
+    """Page events that land after the watermark has passed are dropped; requests are folded without them."""
+    events = _timed_events(spark, d)
+    late = F.col("type") == "page"
+    return _fold_in_turn(
+        spark, _folder(spark, "z06"), events.where(~late), _closing_event(events, 20), events.where(late),
+        _closing_event(events, 40),
+    )
 
 
 @add("z04_stream_scrape", f"select page_id, url, {S.markdown(S.clean())} as markdown, {S.title(S.clean())} as title from pages")
