@@ -5,39 +5,38 @@ Patterns keep to what Java and RE2 share, so each can be checked against another
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from leafmill.functions.text import collapse_space, decode_entities
 from leafmill.functions.urls import resolve_url
 
-_NOISE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
+_NOISE = r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)"
 
 _LINK = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
 _IMG_ALT_SRC = r'(?is)<img\s(?:[^>]*\s)?alt="([^"]*)"[^>]*\ssrc="([^"]*)"[^>]*>'
 _IMG_SRC_ALT = r'(?is)<img\s(?:[^>]*\s)?src="([^"]*)"[^>]*\salt="([^"]*)"[^>]*>'
 _IMG_SRC = r"""(?is)<img\s(?:[^>]*\s)?src\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>"""
 
-# (pattern, replacement), applied in this order to cleaned HTML.
+# Markdown steps in order: (tags one of which must be there, in lower case, patterns with their replacements).
 _MARKDOWN_STEPS = (
-    (r"(?is)<head\b.*?</head>", ""),
-    *((rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n") for n in range(1, 7)),
-    (_IMG_ALT_SRC, "![$1]($2)"),
-    (_IMG_SRC_ALT, "![$2]($1)"),
-    (_IMG_SRC, "![]($1$2$3)"),
-    (_LINK, "[$4]($1$2$3)"),
-    (r"(?i)<li\b[^>]*>", "\n- "),
-    (r"(?is)<(?:b|strong)>([^<]*)</(?:b|strong)>", "**$1**"),
-    (r"(?is)<(?:i|em)>([^<]*)</(?:i|em)>", "*$1*"),
-    (r"(?i)<br\s*/?>", "\n"),
-    (r"(?i)</?(?:p|div|ul|ol|nav|article|footer|section|header|main|table|tr)\b[^>]*>", "\n\n"),
-    (r"(?s)<[^>]+>", ""),
+    (("<head",), ((r"(?is)<head\b.*?</head>", ""),)),
+    *(((f"<h{n}",), ((rf"(?is)<h{n}\b[^>]*>(.*?)</h{n}>", "\n\n" + "#" * n + " $1\n\n"),)) for n in range(1, 7)),
+    (("<img",), ((_IMG_ALT_SRC, "![$1]($2)"), (_IMG_SRC_ALT, "![$2]($1)"), (_IMG_SRC, "![]($1$2$3)"))),
+    (("</a>",), ((_LINK, "[$4]($1$2$3)"),)),
+    (("<li",), ((r"(?i)<li\b[^>]*>", "\n- "),)),
+    (("</b>", "</strong>"), ((r"(?is)<(?:b|strong)>([^<]*)</(?:b|strong)>", "**$1**"),)),
+    (("</i>", "</em>"), ((r"(?is)<(?:i|em)>([^<]*)</(?:i|em)>", "*$1*"),)),
+    (("<br",), ((r"(?i)<br\s*/?>", "\n"),)),
 )
+_BLOCK = r"(?i)</?(?:p|div|ul|ol|nav|article|footer|section|header|main|table|tr)\b[^>]*>"
 
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
 
-def let(value: Column, body) -> Column:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind `value` once for `body`, where using it twice would repeat a long expression."""
     return F.transform(F.array(value), body)[0]
 
@@ -47,20 +46,45 @@ def clean_html(raw: Column) -> Column:
     return F.regexp_replace(raw, _NOISE, "")
 
 
-def markdown(cleaned: Column) -> Column:
+def _step_if(found: Column, patterns) -> Callable[[Column], Column]:
+    def step(t: Column) -> Column:
+        changed = t
+        for pattern, replacement in patterns:
+            changed = F.regexp_replace(changed, pattern, replacement)
+        return F.when(found, changed).otherwise(t)
+
+    return step
+
+
+def _markdown_tags(cleaned: Column, low: Column) -> Column:
     c = cleaned
-    for pattern, replacement in _MARKDOWN_STEPS:
-        c = F.regexp_replace(c, pattern, replacement)
-    c = decode_entities(c)
-    c = F.regexp_replace(c, r"[ \t]{2,}|\t", " ")
-    c = F.regexp_replace(c, r" ?\n ?", "\n")
-    c = F.regexp_replace(c, r"\n{3,}", "\n\n")
-    return F.trim(c, F.lit(" \t\n\x0b\f\r"))
+    for needed, patterns in _MARKDOWN_STEPS:
+        found = low.contains(needed[0])
+        for tag in needed[1:]:
+            found = found | low.contains(tag)
+        c = let(c, _step_if(found, patterns))
+    return F.regexp_replace(F.regexp_replace(c, _BLOCK, "\n\n"), r"<[^>]+>", "")
+
+
+def markdown(cleaned: Column) -> Column:
+    """Markdown of cleaned HTML.
+
+    Every pattern is one more pass over the page, so a step runs only if a plain search finds the tags it needs.
+    """
+    c = decode_entities(let(F.lower(cleaned), lambda low: _markdown_tags(cleaned, low)))
+    c = let(c, lambda t: _step_if(t.contains("  ") | t.contains("\t"), ((r"[ \t]{2,}|\t", " "),))(t))
+    c = F.replace(F.replace(c, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
+    return F.trim(F.regexp_replace(c, r"\n{3,}", "\n\n"), F.lit(" \t\n\x0b\f\r"))
+
+
+def bare_text(cleaned: Column) -> Column:
+    """Text of all elements, tags as blanks, entities decoded, whitespace as it falls."""
+    return decode_entities(F.regexp_replace(cleaned, r"<[^>]+>", " "))
 
 
 def plain_text(cleaned: Column) -> Column:
-    """Text of all elements, tags as blanks, entities decoded, whitespace collapsed."""
-    return collapse_space(decode_entities(F.regexp_replace(cleaned, r"(?s)<[^>]+>", " ")))
+    """The text in one line."""
+    return collapse_space(bare_text(cleaned))
 
 
 def tags(cleaned: Column, name: str) -> Column:
@@ -101,7 +125,7 @@ def _no_strings() -> Column:
 
 
 def _emails(cleaned: Column) -> Column:
-    in_text = F.regexp_extract_all(plain_text(cleaned), F.lit(f"({_EMAIL})"), 1)
+    in_text = F.regexp_extract_all(bare_text(cleaned), F.lit(f"({_EMAIL})"), 1)
     hrefs = F.transform(tags(cleaned, "a"), lambda t: decode_entities(attribute(t, "href")))
     mailto = F.transform(
         F.filter(hrefs, lambda h: h.rlike("(?i)^mailto:")), lambda h: F.regexp_extract(h, f"({_EMAIL})", 1)

@@ -36,7 +36,7 @@ class Index:
 def _page_words(pages: DataFrame) -> DataFrame:
     cleaned = H.clean_html(F.col("html"))
     return pages.select(
-        "page_id", H.language(cleaned).alias("language"), tokens(H.plain_text(cleaned)).alias("_words")
+        "page_id", H.language(cleaned).alias("language"), tokens(H.bare_text(cleaned)).alias("_words")
     ).withColumn("doc_len", F.size("_words").cast("bigint"))
 
 
