@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Events of one session are merged in the tasks that read them, before the shuffle to their state.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",
     # Python call sites are not recorded per expression: plans of many expressions are put together faster.
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -37,8 +37,9 @@ def fold_stream(
 ) -> DataFrame:
     """One row per request once it has been silent for `silence`: what its events came to.
 
-    Built on mergeable aggregates, so a busy request is combined in the tasks that read it before it meets its state.
-    State is dropped when the watermark passes the end of the silence.
+    Built on mergeable aggregates: with the session setting `merge.sessions.in.local.partition`, which `build_session`
+    turns on, a busy request is combined in the tasks that read it before it meets its state. State is dropped when the
+    watermark passes the end of the silence.
     """
     marked = events.withWatermark(ts, lateness)
     grouped = marked.groupBy(F.session_window(ts, silence), "request_id")
