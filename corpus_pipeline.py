@@ -13,7 +13,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from leafmill.llm.pieces import encode_decode  # noqa: E402
 from leafmill.llm.quality import quality_filter  # noqa: E402
 from leafmill.llm.queries import PIECE_MODEL, token_digests  # noqa: E402
-from leafmill.llm.secrets import mask_secrets  # noqa: E402
+from leafmill.llm.secret_scan import mask_secrets  # noqa: E402
 
 #: SQL can't express these stages; tests/llm hold them against brute force.
 ORACLE_SQL = None

@@ -6,13 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import pieces, quality, secrets, urls
+from leafmill.llm import decontaminate, licenses, pieces, quality, secret_scan, sharding, token_counts, urls
 from leafmill.llm import sql as S
 from registry.base import Entries
 
 ENTRIES = Entries()
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+SHARDS = [f"shard-{k:04d}" for k in range(256)]
+
 BLOCK, ALLOW = ["net/", "example.com/de/"], ["example.net/en/", "org/fr/"]
 
 
@@ -47,7 +50,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @ENTRIES.add("op9_secret_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
     def joined(column):
         return F.array_join(F.transform(column, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -56,6 +59,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.filter("spans", lambda s: s["kind"].isin(*kinds))
 
     return found.select(
-        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS[:3]),
-        F.sha2(joined(of(*secrets.KINDS[:3])), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        "doc_id", *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS[:3]),
+        F.sha2(joined(of(*secret_scan.KINDS[:3])), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
     )
+
+
+@ENTRIES.add("op1_license_scan", S.op1())
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), licenses.template_table(spark))
+
+
+@ENTRIES.add("op4_sharding")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+@ENTRIES.add("op8_token_counts")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.token_counts(docs, RANKS, public_tokenizers.PATTERN)
+
+
+@ENTRIES.add("op10_decontamination", S.OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

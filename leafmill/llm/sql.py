@@ -1,5 +1,7 @@
 """SQL for the check, for the queries of this subpackage that SQL can express."""
 
+from leafmill.llm.licenses import TEMPLATES
+
 OP7 = """
 with u as (
   select page_id, case when instr(coalesce(url, ''), '://') > 0
@@ -83,3 +85,50 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and inside as kept
 from c join verdict using (doc_id)
 """
+
+OP10 = """
+with t as (
+  select 'd' as kind, doc_id as id, text from documents where doc_id is not null
+  union all select 'i', item_id, text from benchmark where item_id is not null),
+w as (select kind, id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from t),
+s as (
+  select distinct kind, id, unnest(list_transform(range(len(w) - 4), lambda i: array_to_string(w[i + 1:i + 5], ' '))) as s
+  from w where len(w) >= 5),
+n as (select id, count(*) as n_item from s where kind = 'i' group by id),
+hits as (select d.id as doc_id, i.id as item_id, count(*) as n_shared from s d join s i on d.s = i.s
+  where d.kind = 'd' and i.kind = 'i' group by d.id, i.id)
+select doc_id, item_id, n_shared, n_item, n_shared::double / n_item as containment
+from hits join n on n.id = item_id where n_shared::double / n_item >= 0.8
+"""
+
+
+def op1() -> str:
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())
+
+    def words(text: str) -> str:
+        return f"list_filter(string_split_regex({text}, '[ \\n]+'), lambda x: x <> '')"
+
+    pairs = "list_distinct(list_transform(list_zip(w[1:-2], w[2:]), lambda p: p[1] || ' ' || p[2]))"
+
+    def clean(text: str) -> str:
+        return f"regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')"
+
+    return f"""
+with d as (select doc_id, {clean("coalesce(text, '')")} as t from documents),
+p as (select doc_id, t, string_split_regex(t, '\\n( ?\\n)+') as p from d),
+u as (
+  select doc_id, 'line' as unit, unnest(string_split(t, chr(10))) as x,
+    unnest(range(len(string_split(t, chr(10))))) as unit_no from d
+  union all select doc_id, 'paragraph', unnest(p), unnest(range(len(p))) from p
+  union all select doc_id, 'text', t, 0 from p where len(p) > 1),
+uw as (select doc_id, unit, unit_no, {words("x")} as w from u
+  where (unit = 'line' and trim(x) <> '') or unit = 'text' or (unit = 'paragraph' and contains(trim(x), chr(10)))),
+h as (select doc_id, unit, unit_no, {pairs} as have from uw where len(w) > 1),
+k(license, template) as (values {rows}),
+kw as (select license, {words(clean("template"))} as w from k),
+w as (select license, {pairs} as want from kw where len(w) > 1),
+j as (select h.*, license, len(list_intersect(have, want)) as n_common, len(have) as n_unit, len(want) as n_template
+  from h join w on len(have) between 1 and 3 * len(want))
+select doc_id, unit, unit_no, license, n_common, n_unit, n_template, n_common * 2.0::double / (n_unit + n_template) as dice
+from j where n_common * 2.0::double / (n_unit + n_template) >= 0.8
+"""
