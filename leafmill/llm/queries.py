@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import decontaminate, licenses, pieces, quality, secret_scan, sharding, token_counts, urls
+from leafmill.llm import decontaminate, licenses, pieces, quality, repeats, secret_scan, sharding, token_counts, urls
 from leafmill.llm import sql as S
 from registry.base import Entries
 
@@ -83,3 +83,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @ENTRIES.add("op10_decontamination", S.OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@ENTRIES.add("op5_suffix_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
