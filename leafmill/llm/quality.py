@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import small_side, with_columns
+from leafmill.llm.common import kept, small_side, with_columns
 
 MEASURES = ("word_len", "symbols", "dup_lines", "repeats")
 #: The least upper fence of each measure, and the highest lower fence (only the word length has one).
@@ -133,7 +133,7 @@ def fences(sketch: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
 
 def thresholds(counted: DataFrame, lang_col: str, source_col: str, reach: int, enough: int) -> DataFrame:
     """Fences of every (lang, source): its own, or those of its language or of the corpus if documents are few."""
-    own = sketches(counted, lang_col, source_col)
+    own = kept(sketches(counted, lang_col, source_col))
     # Sketches are counts: a group has at most a few thousand rows, whatever the corpus.
     group, lang, corpus = fences(own, ["lang", "source"], reach), merged(own, "lang"), merged(own)
     lang = fences(lang, ["lang"], reach)

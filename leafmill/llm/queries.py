@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import decontaminate, licenses, pieces, quality, repeats, secret_scan, sharding, token_counts, urls
+from leafmill.llm import decontaminate, licenses, order_minhash, pieces, quality, repeats, secret_scan, sharding, token_counts, urls
 from leafmill.llm import sql as S
 from registry.base import Entries
 
@@ -93,3 +93,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@ENTRIES.add("op2_order_minhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
