@@ -7,12 +7,12 @@
 3. Shards. Texts with open regions are put together to shards of at most SHARD bytes. A shard's suffixes are sorted by
    refinement of ranks (doubling, unsettled groups only). Common prefixes of neighbours follow by Kasai's bound, from one
    position of the text to the next. They settle the windows repeated inside the shard, and give one window of each class.
-4. Merging. The 128-bit digests of a shard's classes are sorted and cut into ranges. A task gets the sorted runs of one
+4. Merging. The 80-bit digests of a shard's classes are sorted and cut into ranges. A task gets the sorted runs of one
    range from all shards and finds each run's members in the others by binary search. A class is once in a run, so no range
    is larger for a hot passage.
 
-Exact copies of a text count as repeats of it all, and only one of them goes through the steps. Hashes only lead to
-equal strings that are equal by a 128-bit digest (gram and region: 64 bits each).
+Exact copies of a text count as repeats of it all, and only one of them goes through the steps. Strings of
+different shards are equal by a digest of 80 bits, regions by one of 128 (gram and region: 64 bits each).
 """
 
 from __future__ import annotations
@@ -81,9 +81,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def picks(gram: np.ndarray) -> np.ndarray:
-    """Positions of the grams picked by each run of REACH + 1 neighbouring grams: the least, the leftmost among equals.
-    Of equal grams picked one after the other, those that the next one's windows cover are left out."""
+def picked_by(gram: np.ndarray) -> np.ndarray:
+    """For each window, the place of the least of its REACH + 1 grams, the leftmost among equals."""
     n = len(gram) - REACH
     if n <= 0:
         return np.zeros(0, np.int64)
@@ -91,16 +90,21 @@ def picks(gram: np.ndarray) -> np.ndarray:
     step = 1 << 20
     for a in range(0, n, step):
         part = gram[a : min(a + step, n) + REACH]
-        least = (part & ~np.uint64((1 << 21) - 1)) | np.arange(len(part), dtype=np.uint64)
+        least = (part & ~np.uint64(_LOW)) | np.arange(len(part), dtype=np.uint64)
         span = 1
         while span * 2 <= REACH + 1:
             least = np.minimum(least[: len(least) - span], least[span:])
             span *= 2
         rest = REACH + 1 - span
         least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
-        at = (least & np.uint64((1 << 21) - 1)).astype(np.int64) + a
-        out.append(at[np.flatnonzero(np.diff(at, prepend=-1))])
-    at = np.unique(np.concatenate(out))
+        out.append((least & np.uint64(_LOW)).astype(np.int64) + a)
+    return np.concatenate(out)
+
+
+def picks(gram: np.ndarray) -> np.ndarray:
+    """Positions of the grams that windows pick. Of equal grams picked one after the other, those that the next one's
+    windows cover are left out."""
+    at = np.unique(picked_by(gram))
     if not np.any(same := gram[at[1:]] == gram[at[:-1]]):
         return at
     chosen, k = [], 0
@@ -114,11 +118,21 @@ def picks(gram: np.ndarray) -> np.ndarray:
     return np.array(sorted(set(chosen)), np.int64)
 
 
+def grams_of(raw: np.ndarray, d: Digests) -> np.ndarray:
+    start = np.arange(max(len(raw) - GRAM + 1, 0))
+    return d.of(0, start, start + GRAM)
+
+
+def open_windows(raw: np.ndarray, opened: np.ndarray) -> np.ndarray:
+    """Starts of the windows whose picked gram is one of those at the places `opened`."""
+    grams = grams_of(raw, Digests(raw))
+    return np.flatnonzero(np.isin(grams[picked_by(grams)], grams[opened]))
+
+
 def text_grams(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Positions, grams, regions, and whether the gram is picked again in the text, of a text's picked grams."""
     d = Digests(raw)
-    start = np.arange(max(len(raw) - GRAM + 1, 0))
-    grams = d.of(0, start, start + GRAM)
+    grams = grams_of(raw, d)
     at = picks(grams)
     low, high = np.maximum(at - REACH, 0), np.minimum(at + LENGTH, len(raw))
     region = d.of(1, low, high) ^ mixed(((at - low) * (LENGTH + 1) + (high - at)).astype(np.uint64))
@@ -260,7 +274,7 @@ def _bytes_of(x: np.ndarray) -> bytes:
 
 
 _SHARD_SCHEMA = (
-    "shard long, part int, digests binary, number binary, key long, size long, done binary, starts binary, class binary"
+    "shard long, part int, digests binary, base int, key long, size long, done binary, starts binary, class binary"
 )
 
 
@@ -269,7 +283,7 @@ def _sharded(ranges: int):
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
         names = [c.split()[0] for c in _SHARD_SCHEMA.split(", ")]
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), *[pa.binary()] * 3]
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names
         )
@@ -279,14 +293,16 @@ def _sharded(ranges: int):
         opened: dict = {}
         if shard.n:
             starts, which, several, d0, d1 = shard.classes()
-            part = (d0 >> np.uint64(40)).astype(np.int64) * ranges >> 24
+            # Classes are numbered in the order of their digests, so a run says which they are by its first number.
             order = np.lexsort((d1, d0))
-            edges = np.searchsorted(part[order], np.arange(ranges + 1))
-            for k in range(ranges):
-                own = order[edges[k] : edges[k + 1]]
-                if len(own):
-                    runs = _bytes_of(np.stack([d0[own], d1[own]], 1)), _bytes_of(own.astype(np.int32))
-                    rows.append((number, k, *runs, None, None, None, None, None))
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            which, several, d0, d1 = place[which], several[order], d0[order], d1[order].astype(np.uint16)
+            part = (d0 >> np.uint64(40)).astype(np.int64) * ranges >> 24
+            edges = np.searchsorted(part, np.arange(ranges + 1)).tolist()
+            for k, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
+                if lo < hi:
+                    rows.append((number, k, _bytes_of(d0[lo:hi]) + _bytes_of(d1[lo:hi]), lo, *[None] * 5))
             by_start = np.argsort(starts, kind="stable")
             starts, which = starts[by_start], which[by_start]
             for key, at, base, size in shard.key:
@@ -315,8 +331,9 @@ def _sharded(ranges: int):
             for piece in text_pieces(batch, 2):
                 for key, size, text, settled, opened in zip(*(c.to_pylist() for c in piece.columns), strict=True):
                     raw = np.frombuffer(text.encode(), np.uint8)
-                    at = np.array(sorted(opened or ()), np.int64)
-                    lo, hi = covered(np.maximum(at - REACH, 0), np.minimum(at + LENGTH, len(raw)))
+                    at = open_windows(raw, np.array(opened, np.int64)) if opened else np.zeros(0, np.int64)
+                    cut = np.flatnonzero(np.diff(at, prepend=-2) > 1)
+                    lo, hi = at[cut], at[np.append(cut[1:], len(at)) - 1] + LENGTH if len(at) else at
                     whole = np.array(sorted(settled or ()), np.int64)
                     mine = np.stack([np.maximum(whole - REACH, 0), np.minimum(whole + LENGTH, len(raw))], 1)
                     texts.append(((key, size), mine))
@@ -340,21 +357,25 @@ def _sharded(ranges: int):
 
 def _merged(ranges: pa.Table) -> pa.Table:
     """(shard, numbers of its classes that other shards have too) for the sorted runs of one range."""
-    runs = [np.frombuffer(x, np.uint64).reshape(-1, 2) for x in ranges.column("digests").to_pylist()]
-    numbers = [np.frombuffer(x, np.int32) for x in ranges.column("number").to_pylist()]
-    every = np.sort(np.concatenate([r[:, 0] for r in runs]))
-    more = []
-    for r in runs:
-        low, high = np.searchsorted(every, r[:, 0]), np.searchsorted(every, r[:, 0], side="right")
-        more.append(high - low > 1)
-    # Those whose first half is found again are compared by both halves.
-    again = np.concatenate([r[m] for r, m in zip(runs, more, strict=True)])
-    _, back, times = np.unique(again, axis=0, return_inverse=True, return_counts=True)
-    twice = times[back.reshape(-1)] > 1
+    runs = []
+    for blob in ranges.column("digests").to_pylist():
+        n = len(blob) // 10
+        runs.append((np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.uint16, n, 8 * n)))
+    every = np.sort(np.concatenate([r for r, _ in runs]))
+    again = []
+    for r, _ in runs:
+        again.append(np.searchsorted(every, r, side="right") - np.searchsorted(every, r) > 1)
+    # Those whose first 64 bits are found again are compared by all bits.
+    full = np.concatenate([np.stack([r[m], rest[m].astype(np.uint64)], 1) for (r, rest), m in zip(runs, again, strict=True)])
+    order = np.lexsort((full[:, 1], full[:, 0]))
+    same = (full[order[1:]] == full[order[:-1]]).all(axis=1)
+    twice = np.zeros(len(full), bool)
+    twice[order[1:]] |= same
+    twice[order[:-1]] |= same
     hits, at = [], 0
-    for n, m in zip(numbers, more, strict=True):
+    for base, m in zip(ranges.column("base").to_pylist(), again, strict=True):
         size = int(m.sum())
-        hits.append(_bytes_of(n[m][twice[at : at + size]]))
+        hits.append(_bytes_of((np.flatnonzero(m)[twice[at : at + size]] + base).astype(np.int32)))
         at += size
     return pa.table({"shard": ranges.column("shard"), "hits": pa.array(hits, pa.binary())})
 
@@ -406,7 +427,7 @@ def _spans_of_texts(texts: DataFrame) -> DataFrame:
     states = kept(
         mine.select("key", "size", "text", "settled", "opened").mapInArrow(_sharded(ranges), _SHARD_SCHEMA)
     )
-    runs = states.where("part is not null").select("part", "shard", "digests", "number")
+    runs = states.where("part is not null").select("part", "shard", "digests", "base")
     hits = runs.groupBy("part").applyInArrow(_merged, "shard long, hits binary")
     rows = states.where("part is null").select("shard", "key", "size", "done", "starts", "class")
     closed = rows.groupBy("shard").cogroup(hits.groupBy("shard")).applyInArrow(
