@@ -262,8 +262,8 @@ def links(
     entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"))
     firsts = members.groupBy("key").agg(F.min(entry).alias("f")).select("key", "f.*")
     led = members.join(firsts, "key").where((F.col("node") != F.col("first")) & fits)
-    found = told(kept(led.select("first", "node").distinct()))
-    tried, turn = led.select("first", "node"), 0
+    tried = kept(led.select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node")).distinct())
+    found, turn = told(tried), 0
     while True:
         turn += 1
         salt = F.xxhash64("node", F.lit(turn))
@@ -304,8 +304,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `df` that stand for their class: those with its least id, one of them if rows repeat it."""
+    """The rows of `df` that have the least id of their class, with all columns; one row where rows repeat that id.
+
+    Only rows with repeated ids are shuffled whole. Rows with null ids stay if their class has no other.
+    """
     classes = near_duplicates(df, id_col, text_col, threshold)
-    lone = kept(classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_id")).distinct())
-    kept_rows = df.join(lone, F.col(id_col).eqNullSafe(F.col("_id")), "left_semi")
-    return kept_rows.dropDuplicates([id_col])
+    lone = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy(F.col(id_col).alias("_id"))
+    lone = kept(lone.agg(F.count(F.lit(1)).alias("_rows")))
+    rows = df.join(
+        small_side(lone, MOST_TEXTS), F.col(id_col).eqNullSafe(F.col("_id")), "inner"
+    )
+    once, again = rows.where("_rows = 1"), rows.where("_rows > 1")
+    if lone.where("_rows > 1").isEmpty():
+        return once.select(*df.columns)
+    return once.select(*df.columns).union(again.dropDuplicates(["_id"]).select(*df.columns))
