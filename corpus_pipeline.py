@@ -1,4 +1,4 @@
-"""A corpus from raw documents to token counts, in stages."""
+"""A corpus from raw documents to token digests, in five stages. Each gets what the one before kept."""
 
 from __future__ import annotations
 
@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from leafmill.llm.decontaminate import decontaminated  # noqa: E402
+from leafmill.llm.order_minhash import one_of_each  # noqa: E402
 from leafmill.llm.pieces import encode_decode  # noqa: E402
 from leafmill.llm.quality import quality_filter  # noqa: E402
-from leafmill.llm.queries import PIECE_MODEL, token_digests  # noqa: E402
+from leafmill.llm.queries import PIECE_MODEL, table, token_digests  # noqa: E402
 from leafmill.llm.secret_scan import mask_secrets  # noqa: E402
 
 #: SQL can't express these stages; tests/llm hold them against brute force.
@@ -20,30 +22,42 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rule or their group's fences reject go."""
+    """Documents that the base rule or the fences of their language and source reject go."""
     return quality_filter(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates the document with the least id stays."""
+    return one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with four fifths of a benchmark item's shingles go."""
+    return decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in texts are replaced by a mark; no document goes."""
+    """Secrets in texts are replaced by a mark; no document goes. n_chars follows the new text."""
     masked = mask_secrets(docs)
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else masked
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of each document."""
+    """Number of tokens and digests of each document that is left."""
     return token_digests(encode_decode(docs, PIECE_MODEL))
 
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
     ("secret scans", secret_scans),
     ("SentencePiece encoding and decoding", piece_encoding),
 ]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs

@@ -29,7 +29,9 @@ MOST_GROUPS = 100_000
 
 SYMBOLS = "#*$%&|<>"
 _SPACES = " \t\n\x0b\x0c\r"
-_FIELDS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long"
+_FIELDS = ", ".join(
+    f"_q_{c} long" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
+)
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -66,13 +68,13 @@ def _counter():
 
 
 def with_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """`df` with the counts of each whole text in columns of `_FIELDS`. Null texts count as empty: all zero."""
+    """`df` with the counts of each whole text in the columns `_FIELDS`. Null texts count as empty: all zero."""
     return with_columns(df, text_col, _counter, _FIELDS)
 
 
 def _measures() -> dict[str, Column]:
     def rate(part: str, whole: str, times: int) -> Column:
-        return F.expr(f"{times} * {part} div greatest({whole}, 1)")
+        return F.expr(f"{times} * _q_{part} div greatest(_q_{whole}, 1)")
 
     return {
         "word_len": rate("word_chars", "n_words", 100), "symbols": rate("n_symbols", "n_words", 10_000),
@@ -152,19 +154,10 @@ def thresholds(counted: DataFrame, lang_col: str, source_col: str, reach: int, e
     )
 
 
-def judged(
-    df: DataFrame,
-    text_col: str = "text",
-    lang_col: str = "lang",
-    source_col: str = "source",
-    reach: int = REACH,
-    enough: int = ENOUGH,
+def _judged(
+    df: DataFrame, text_col: str, lang_col: str, source_col: str, reach: int = REACH, enough: int = ENOUGH
 ) -> DataFrame:
-    """`df` with its counts, `base_failed` and `kept`; every row is judged, null languages and sources are groups too.
-
-    Texts are read twice, once for the sketches and once for the verdict, and never shuffled. Null and empty texts have
-    no words and fail the base rule. An empty table gives an empty table.
-    """
+    """`df` with the counts and both verdicts in columns that start with _q_."""
     counted = with_counts(df, text_col)
     # The first pass reads no column but these three, so a row's other columns do not travel to Python.
     limits = thresholds(
@@ -172,18 +165,37 @@ def judged(
         lang_col, source_col, reach, enough,
     )
     joined = counted.join(
-        small_side(limits, MOST_GROUPS),
+        small_side(kept(limits), MOST_GROUPS),
         F.col(lang_col).eqNullSafe(F.col("_lang")) & F.col(source_col).eqNullSafe(F.col("_source")), "left",
     )
-    base = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
+    base = F.expr("_q_n_words < 10 or 100 * _q_n_repeat_words > 20 * _q_n_words")
     inside = F.lit(True)
     for m, value in _measures().items():
         inside = inside & (value <= F.col(f"_{m}_top"))
         if m in MOST_LOW:
             inside = inside & (value >= F.col(f"_{m}_bottom"))
-    return joined.select(*counted.columns, base.alias("base_failed"), (~base & inside).alias("kept"))
+    return joined.select(*counted.columns, base.alias("_q_base_failed"), (~base & inside).alias("_q_kept"))
+
+
+def judged(
+    df: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    source_col: str = "source",
+    reach: int = REACH,
+    enough: int = ENOUGH,
+) -> DataFrame:
+    """`df` with its counts (BASE), `base_failed` and `kept`, which replace columns of these names.
+
+    Every row is judged; null languages and sources are groups too. Texts are read twice, once for the sketches and once
+    for the verdict, and never shuffled. Null and empty texts have no words and fail the base rule. Repeated rows each
+    count. An empty table gives an empty table.
+    """
+    told = (*BASE, "base_failed", "kept")
+    rows = _judged(df, text_col, lang_col, source_col, reach, enough)
+    return rows.select(*(c for c in df.columns if c not in told), *(F.col(f"_q_{c}").alias(c) for c in told))
 
 
 def quality_filter(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The rows of `df` that the rules keep, with the columns of `df`."""
-    return judged(df, text_col, lang_col, source_col).where("kept").select(*df.columns)
+    return _judged(df, text_col, lang_col, source_col).where("_q_kept").select(*df.columns)
