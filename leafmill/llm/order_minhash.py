@@ -9,8 +9,8 @@ A candidate is verified by its edit distance in words, 1 - distance / longer len
 of diagonals that the threshold allows, after a bound by the words in common.
 
 Candidates are compared with the first text of their bucket, never all with all. Where a bucket then still has members of
-several classes, one member of each class is drawn and compared with those of the other classes (with one of them if there
-are more than CLASSES); members are drawn anew as long as classes join.
+several classes, those of different classes are compared if it has at most MEMBERS; in a larger one each is compared with
+one more member, drawn by a hash.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ from leafmill.llm.common import importable, kept, over_texts, small_side, text_p
 
 SHINGLE, KMERS, ROWS, BANDS = 5, 2, 1, 24
 THRESHOLD = 0.8
-#: Most classes that meet in a bucket for each to be compared with each; in the others each is compared with one.
-CLASSES = 8
+#: Most members of a bucket for those of different classes to be compared with each other; in larger ones each is compared
+#: with the first member and one drawn by a hash.
+MEMBERS = 16
 #: Most texts that are picked out of the documents by a broadcast list.
 MOST_TEXTS = 500_000
 
@@ -263,28 +264,23 @@ def links(
     firsts = members.groupBy("key").agg(F.min(entry).alias("f")).select("key", "f.*")
     led = members.join(firsts, "key").where((F.col("node") != F.col("first")) & fits)
     tried = kept(led.select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node")).distinct())
-    found, turn = told(tried), 0
-    while True:
-        turn += 1
-        salt = F.xxhash64("node", F.lit(turn))
-        placed = members.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        drawn = kept(placed.groupBy("key", "root").agg(F.min_by(entry, salt).alias("f")))
-        classes = drawn.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("root", "f"), F.xxhash64("key", "root")).alias("one"))
-        drawn = drawn.join(classes.where("n > 1"), "key").select("key", "root", "n", "f.*", F.col("one.root").alias("r1"), F.col("one.f").alias("f1"))
-        few = drawn.where(F.col("n") <= CLASSES).select("key", "root", "first", "n_first")
-        other = few.select("key", F.col("root").alias("r1"), F.col("first").alias("node"), F.col("n_first").alias("n_words"))
-        pairs = few.join(other, "key").where("root < r1")
-        if turn == 1:
-            many = drawn.where((F.col("n") > CLASSES) & (F.col("root") != F.col("r1")))
-            pairs = pairs.select("first", "n_first", "node", "n_words").union(
-                many.select("first", "n_first", F.col("f1.first").alias("node"), F.col("f1.n_first").alias("n_words"))
-            )
-        pairs = pairs.where(fits).select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node"))
-        pairs = kept(pairs.distinct().join(tried, ["first", "node"], "left_anti"))
-        new = told(pairs)
-        if new.isEmpty():
-            return found
-        found, tried = kept(found.union(new)), kept(tried.union(pairs))
+    found = told(tried)
+
+    # Buckets that still hold several classes.
+    placed = members.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"),
+        F.min_by(F.struct("root", entry.alias("f")), F.xxhash64("key", "node")).alias("one"),
+    )
+    mixed_up = placed.join(sizes.where("a <> b").drop("a", "b"), "key")
+    few = mixed_up.where(F.col("n") <= MEMBERS).select("key", "root", F.col("node").alias("first"), F.col("n_words").alias("n_first"))
+    other = few.select("key", F.col("root").alias("r1"), F.col("first").alias("node"), F.col("n_first").alias("n_words"))
+    many = mixed_up.where((F.col("n") > MEMBERS) & (F.col("root") != F.col("one.root")))
+    pairs = few.join(other, "key").where("root < r1").select("first", "n_first", "node", "n_words").union(
+        many.select("one.f.first", "one.f.n_first", "node", "n_words")
+    )
+    pairs = pairs.where(fits).select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node"))
+    return found.union(told(kept(pairs.distinct().join(tried, ["first", "node"], "left_anti"))))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

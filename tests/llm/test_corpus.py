@@ -152,7 +152,7 @@ def near_rows():
             for _ in range(rng.randint(1, max(1, len(w) // 40))):
                 w[rng.randrange(len(w))] = "changed"
             texts.append(" ".join(w))
-        texts.append(own.upper() + " !")
+        texts.append(own.replace(" ", ", ").capitalize() + " !")
     texts += [passage + " " + prose(60, rng) for _ in range(10)]
     half = prose(80, rng)
     texts += [half + " " + passage, passage + " " + half]  # the same passages in another order
