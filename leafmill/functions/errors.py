@@ -25,8 +25,8 @@ def is_retryable(status: Column, flag: Column) -> Column:
 
 
 def backoff_ms(attempt: Column, base: int = BASE_BACKOFF_MS) -> Column:
-    """Delay after 0-based attempt i: base * 2^i milliseconds."""
-    return F.lit(base).cast("bigint") * F.pow(F.lit(2.0), attempt).cast("bigint")
+    """Delay after 0-based attempt i: base * 2^i milliseconds; from i = 40 on it grows no more, so nothing overflows."""
+    return F.lit(base).cast("bigint") * F.pow(F.lit(2.0), F.least(attempt, F.lit(40))).cast("bigint")
 
 
 def retry_schedule(max_retries: int = MAX_RETRIES, base: int = BASE_BACKOFF_MS) -> Column:

@@ -1,6 +1,6 @@
 """Page text as columns: cleaned HTML, markdown, plain text, attributes of tags.
 
-Patterns keep to what Java and RE2 share, so each can be checked against another engine.
+Patterns keep to what Java and RE2 share, so each can be checked against another engine; that for attributes is Java's.
 """
 
 from __future__ import annotations
@@ -10,9 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leafmill.functions.text import collapse_space, decode_entities
+from leafmill.functions.text import collapse_space, decode_entities, strip_space
 from leafmill.functions.urls import resolve_url
 
+# A tag starts with a letter, `/`, `!` or `?`; any other `<` is text.
+TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
+
 _NOISE = r"(?is)<(?:script\b.*?</script>|style\b.*?</style>|!--.*?-->)"
 
 _LINK = r"""(?is)<a\s(?:[^>]*\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))[^>]*>(.*?)</a>"""
@@ -31,7 +34,8 @@ _MARKDOWN_STEPS = (
     (("</i>", "</em>"), ((r"(?is)<(?:i|em)>([^<]*)</(?:i|em)>", "*$1*"),)),
     (("<br",), ((r"(?i)<br\s*/?>", "\n"),)),
 )
-_BLOCK = r"(?i)</?(?:p|div|ul|ol|nav|article|footer|section|header|main|table|tr)\b[^>]*>"
+_BLOCK = r"(?i)</?(?:p|div|ul|ol|nav|article|footer|section|header|main|table|tr|dt|dd|pre|blockquote|figure|form)\b[^>]*>"
+_CELL = r"(?i)</?(?:td|th)\b[^>]*>"
 
 _EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
@@ -63,7 +67,8 @@ def _markdown_tags(cleaned: Column, low: Column) -> Column:
         for tag in needed[1:]:
             found = found | low.contains(tag)
         c = let(c, _step_if(found, patterns))
-    return F.regexp_replace(F.regexp_replace(c, _BLOCK, "\n\n"), r"<[^>]+>", "")
+    c = let(c, _step_if(low.contains("<td") | low.contains("<th"), ((_CELL, " "),)))
+    return F.regexp_replace(F.regexp_replace(c, _BLOCK, "\n\n"), TAG, "")
 
 
 def markdown(cleaned: Column) -> Column:
@@ -79,7 +84,7 @@ def markdown(cleaned: Column) -> Column:
 
 def bare_text(cleaned: Column) -> Column:
     """Text of all elements, tags as blanks, entities decoded, whitespace as it falls."""
-    return decode_entities(F.regexp_replace(cleaned, r"<[^>]+>", " "))
+    return decode_entities(F.regexp_replace(cleaned, TAG, " "))
 
 
 def plain_text(cleaned: Column) -> Column:
@@ -93,17 +98,22 @@ def tags(cleaned: Column, name: str) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute, double-quoted, single-quoted or bare; NULL if there is none."""
-    pattern = rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    """Value of an attribute, double-quoted, single-quoted or bare; NULL if there is none.
+
+    Attributes are passed one by one, so a name inside another one's value is not taken for it.
+    """
+    value = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+    other = rf"""[\s/]++(?!{name}\s*+=)[^\s=>"'/]++(?:\s*+=\s*+{value})?+"""
+    pattern = rf"""(?is)^<[^\s/>]++(?:{other})*+[\s/]++{name}\s*+=\s*+({value})"""
     value = F.nullif(F.regexp_extract(tag, pattern, 1), F.lit(""))
     return F.regexp_replace(value, r"""(?s)^["'](.*)["']$""", "$1")
 
 
 def _urls_of(cleaned: Column, tag: str, attr: str, base: Column) -> Column:
-    values = F.transform(tags(cleaned, tag), lambda t: F.trim(decode_entities(attribute(t, attr))))
+    values = F.transform(tags(cleaned, tag), lambda t: strip_space(decode_entities(attribute(t, attr))))
     present = F.filter(values, lambda v: v.isNotNull() & (v != ""))
     absolute = F.transform(present, lambda v: resolve_url(v, base))
-    return F.array_distinct(F.filter(absolute, lambda u: u.rlike(r"^https?://")))
+    return F.array_distinct(F.filter(absolute, lambda u: u.rlike(r"(?i)^https?://")))
 
 
 def links(cleaned: Column, base: Column) -> Column:

@@ -12,7 +12,7 @@ SPACES = (
 )
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
-# Named entities decoded in page text; `&amp;` comes last so nothing is decoded twice.
+# Named entities decoded in page text. `&amp;` is decoded after them, so nothing is decoded twice.
 ENTITIES = (
     ("&middot;", "·"),
     ("&copy;", "©"),
@@ -21,7 +21,34 @@ ENTITIES = (
     ("&gt;", ">"),
     ("&#39;", "'"),
     ("&nbsp;", " "),
-    ("&amp;", "&"),
+    ("&apos;", "'"),
+    ("&ndash;", "–"),
+    ("&mdash;", "—"),
+    ("&hellip;", "…"),
+    ("&lsquo;", "‘"),
+    ("&rsquo;", "’"),
+    ("&ldquo;", "“"),
+    ("&rdquo;", "”"),
+    ("&laquo;", "«"),
+    ("&raquo;", "»"),
+    ("&euro;", "€"),
+    ("&reg;", "®"),
+    ("&trade;", "™"),
+    ("&times;", "×"),
+    ("&agrave;", "à"),
+    ("&aacute;", "á"),
+    ("&auml;", "ä"),
+    ("&ccedil;", "ç"),
+    ("&egrave;", "è"),
+    ("&eacute;", "é"),
+    ("&ecirc;", "ê"),
+    ("&iacute;", "í"),
+    ("&ntilde;", "ñ"),
+    ("&oacute;", "ó"),
+    ("&ouml;", "ö"),
+    ("&szlig;", "ß"),
+    ("&uacute;", "ú"),
+    ("&uuml;", "ü"),
 )
 
 
@@ -36,9 +63,32 @@ def collapse_space(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    for entity, char in ENTITIES:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    """Named entities and numeric references. Texts without `&` are passed on as they are."""
+
+    def decoded(t: Column) -> Column:
+        for entity, char in ENTITIES:
+            t = F.replace(t, F.lit(entity), F.lit(char))
+        t = F.transform(F.array(t), lambda x: F.when(x.contains("&#"), _numeric(x)).otherwise(x))[0]
+        return F.replace(t, F.lit("&amp;"), F.lit("&"))
+
+    return F.transform(F.array(c), lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))[0]
+
+
+def _numeric(c: Column) -> Column:
+    """`&#8217;` and `&#x2019;` as characters; a number that is no character stays as it is."""
+
+    def tail(part: Column) -> Column:
+        found = F.regexp_extract(part, "^(?:[xX]([0-9a-fA-F]{1,6})|[0-9]{1,7});", 0)
+        is_hex = F.lower(F.substring(found, 1, 1)) == "x"
+        digits = F.regexp_replace(found, "[xX;]", "")
+        code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
+        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        rest = F.substring(part, F.length(found) + 1, F.length(part))
+        return F.when(good, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
+
+    parts = F.split(c, "&#", -1)
+    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), tail), ""))
 
 
 def preview(c: Column, n: int) -> Column:

@@ -5,7 +5,6 @@ Text is parsed once into a VARIANT. Keys may be camelCase or snake_case; unknown
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from leafmill.functions.errors import error_message, is_retryable
-from leafmill.functions.naming import KNOWN_KEYS, snake_json_keys
+from leafmill.functions.naming import KNOWN_KEYS, camel_to_snake, snake_json_keys
 from leafmill.functions.text import blank_to_null
 
 # Document fields and metadata fields with their types.
@@ -26,6 +25,7 @@ _META_FIELDS = {
     "status_code": "int", "scrape_id": "string", "credits_used": "double", "cache_state": "string",
     "content_type": "string", "favicon": "string",
 }
+NO_OBJECT = "response is not a JSON object"
 _WIRE = {snake: camel for camel, snake in KNOWN_KEYS.items()}
 
 
@@ -57,6 +57,12 @@ def extra_of(v: Column, known: Iterable[str]) -> Column:
     return F.when(F.size(rest) > 0, snake_json_keys(F.to_json(rest)))
 
 
+def _success(env: Column) -> Column:
+    """The object's flag, true without one; false for anything but an object."""
+    given = F.coalesce(F.try_variant_get(env, "$.success", "boolean"), F.lit(True))
+    return F.when(object_of(env).isNull(), F.lit(False)).otherwise(given)
+
+
 def _with_data(df: DataFrame, envelope: str) -> DataFrame:
     """Add `_data`: the `data` field if it is an object, else the envelope itself."""
     data = F.try_variant_get(F.col(envelope), "$.data", "variant")
@@ -67,7 +73,8 @@ def _with_data(df: DataFrame, envelope: str) -> DataFrame:
 def documents_from_envelopes(df: DataFrame, envelope: str = "body") -> DataFrame:
     """Scrape responses to documents: fields at top level, `metadata` a struct, success and error settled.
 
-    A missing `success` means true. The envelope's error comes first; an empty one falls through to the data's.
+    A missing `success` means true in an object; a response that is no JSON object failed and says so. The envelope's error
+    comes first; an empty one falls through to the data's.
     """
     df = _with_data(df, envelope)
     data, env = F.col("_data"), F.col(envelope)
@@ -83,10 +90,11 @@ def documents_from_envelopes(df: DataFrame, envelope: str = "body") -> DataFrame
             **{f: get(data, f, kind) for f, kind in _DOC_FIELDS.items()},
             "json": snake_json_keys(F.to_json(F.try_variant_get(data, "$.json", "variant"))),
             "metadata": F.when(has_meta, meta_struct),
-            "success": F.coalesce(F.try_variant_get(env, "$.success", "boolean"), F.lit(True)),
+            "success": _success(env),
             "error": F.coalesce(
                 blank_to_null(F.try_variant_get(env, "$.error", "string")),
                 F.try_variant_get(data, "$.error", "string"),
+                F.when(object_of(env).isNull(), F.lit(NO_OBJECT)),
             ),
             "extra": extra_of(data, known),
         }
@@ -101,7 +109,7 @@ def search_from_envelopes(df: DataFrame, envelope: str = "body") -> DataFrame:
     )
     return df.withColumns(
         {
-            "success": F.coalesce(F.try_variant_get(env, "$.success", "boolean"), F.lit(True)),
+            "success": _success(env),
             "credits_used": get(env, "credits_used", "double"),
             "id": F.try_variant_get(env, "$.id", "string"),
             "web": web,
@@ -144,7 +152,7 @@ def batch_counts(df: DataFrame, envelope: str = "body") -> DataFrame:
     documents = F.size(F.filter(results, lambda r: object_of(r).isNotNull()))
     return df.withColumns(
         {
-            "success": F.coalesce(F.try_variant_get(env, "$.success", "boolean"), F.lit(True)),
+            "success": _success(env),
             "count": F.coalesce(F.try_variant_get(env, "$.count", "int"), documents),
         }
     ).drop(envelope)
@@ -176,26 +184,33 @@ def batch_summary(docs: DataFrame, batch: str = "batch_id") -> DataFrame:
     )
 
 
-def _snake_type(t: T.DataType) -> T.DataType:
+def _field_names(t: T.DataType) -> set[str]:
+    """Names of all fields at any depth, through arrays and map values."""
     if isinstance(t, T.StructType):
-        return T.StructType([T.StructField(snake_name(f.name), _snake_type(f.dataType), f.nullable) for f in t])
+        return {f.name for f in t} | {n for f in t for n in _field_names(f.dataType)}
     if isinstance(t, T.ArrayType):
-        return T.ArrayType(_snake_type(t.elementType), t.containsNull)
-    if isinstance(t, T.MapType):
-        return T.MapType(t.keyType, _snake_type(t.valueType), t.valueContainsNull)
-    return t
+        return _field_names(t.elementType)
+    return _field_names(t.valueType) if isinstance(t, T.MapType) else set()
 
 
-def snake_name(name: str) -> str:
-    """`camel_to_snake` for column names, which are known when the plan is made."""
-    if name in KNOWN_KEYS:
-        return KNOWN_KEYS[name]
-    if "_" in name and name == name.lower():
-        return name
-    words = re.sub(r"(.)([A-Z][a-z]+)", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", words).lower()
+def _renamed(t: T.DataType, names: dict[str, str]) -> T.DataType:
+    if isinstance(t, T.StructType):
+        return T.StructType([T.StructField(names[f.name], _renamed(f.dataType, names), f.nullable) for f in t])
+    if isinstance(t, T.ArrayType):
+        return T.ArrayType(_renamed(t.elementType, names), t.containsNull)
+    if isinstance(t, T.MapType):
+        return T.MapType(t.keyType, _renamed(t.valueType, names), t.valueContainsNull)
+    return t
 
 
 def normalize_keys(df: DataFrame) -> DataFrame:
-    """Rename columns and nested fields, through arrays and map values, to snake_case. Data are not touched."""
-    return df.select(*[F.col(f"`{f.name}`").cast(_snake_type(f.dataType)).alias(snake_name(f.name)) for f in df.schema])
+    """Rename columns and nested fields, through arrays and map values, to snake_case. Data are not touched.
+
+    The names go through `camel_to_snake` as one row of literals, which Spark folds while it plans: no job runs.
+    """
+    wire = sorted(_field_names(df.schema))
+    one = df.sparkSession.range(1).select(F.array(*[camel_to_snake(F.lit(n)) for n in wire]).alias("names")).first()
+    names = dict(zip(wire, one["names"], strict=True))
+    return df.select(
+        *[F.col(f"`{f.name}`").cast(_renamed(f.dataType, names)).alias(names[f.name]) for f in df.schema]
+    )

@@ -13,7 +13,7 @@ TERMINAL = ("done", "error")
 
 
 def sessionise(
-    events: DataFrame, key: str, order: Sequence[str] = ("ts", "event_id"), heavy: list | None = None
+    events: DataFrame, key: str, order: Sequence[str] = ("ts", "event_id"), heavy: dict | None = None
 ) -> DataFrame:
     """Add `session`: the number of `done`/`error` events of the same key that came earlier."""
     ended = F.when(F.col("type").isin(*TERMINAL), 1).otherwise(0)
@@ -47,7 +47,7 @@ def fold_events(events: DataFrame, order: Sequence[str] = ("ts", "event_id")) ->
 
 
 def folded_hits(
-    events: DataFrame, order: Sequence[str] = ("ts", "event_id"), heavy: list | None = None
+    events: DataFrame, order: Sequence[str] = ("ts", "event_id"), heavy: dict | None = None
 ) -> DataFrame:
     """The hits of each request in order, numbered from 1 across its page events."""
     pages = events.where(F.col("type") == "page").withColumn("_size", F.coalesce(F.size("web"), F.lit(0)))

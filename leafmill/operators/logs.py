@@ -9,7 +9,7 @@ from leafmill.functions.errors import is_retryable
 from leafmill.plans.skew import salted_join
 
 
-def get_logs(ids: DataFrame, logs: DataFrame, heavy: list | None = None) -> DataFrame:
+def get_logs(ids: DataFrame, logs: DataFrame, heavy: dict | None = None) -> DataFrame:
     """The log row of each id; a miss carries a 404 error. An id that is asked for very often is salted."""
     hit = logs.withColumn("_hit", F.lit(True))
     spread = [c for c in ids.columns if c != "id"] or ["id"]
@@ -22,7 +22,7 @@ def get_logs(ids: DataFrame, logs: DataFrame, heavy: list | None = None) -> Data
     return out.withColumn("error", F.when(missing, error)).drop("_hit")
 
 
-def get_log_results(ids: DataFrame, logs: DataFrame, documents: DataFrame, heavy: list | None = None) -> DataFrame:
+def get_log_results(ids: DataFrame, logs: DataFrame, documents: DataFrame, heavy: dict | None = None) -> DataFrame:
     """The stored body of each past request: ids that are logged and have a document. `documents` is keyed by `id`."""
     spread = [c for c in ids.columns if c != "id"] or ["id"]
     stored = documents.join(logs.select("id"), "id", "left_semi")
@@ -35,7 +35,7 @@ def missing_logs(documents: DataFrame, logs: DataFrame, id_col: str = "id") -> D
 
 
 def cache_state(
-    requests: DataFrame, ok: Column, order: tuple[str, str] = ("started_at_ms", "id"), heavy: list | None = None
+    requests: DataFrame, ok: Column, order: tuple[str, str] = ("started_at_ms", "id"), heavy: dict | None = None
 ) -> DataFrame:
     """Add `cache_state`: hit if the same URL was fetched with success before and `skip_cache` is not set.
 

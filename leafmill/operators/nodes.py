@@ -289,7 +289,7 @@ def extract_fields(pages: DataFrame, rules: Mapping[str, str | Mapping]) -> Data
         "page_id", H.clean_html(F.col("html")).alias("_clean")
     )
     inner = F.substring(F.col("_clean"), F.col("content_offset") + 1, F.col("end_offset") - F.col("content_offset"))
-    text = collapse_space(decode_entities(F.regexp_replace(inner, r"(?s)<[^>]+>", "")))
+    text = collapse_space(decode_entities(F.regexp_replace(inner, H.TAG, "")))
     value = F.when(F.col("field").isin(*attr_of), F.col("_attr")).otherwise(text) if attr_of else text
     return hits.join(source, "page_id").select("page_id", "field", "idx", value.alias("value"))
 

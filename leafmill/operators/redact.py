@@ -115,8 +115,31 @@ def _redact_step(entity: str, pattern: str, mode: str, style: str) -> Callable[[
     return step
 
 
-def redact(df: DataFrame, col: str, option: bool | Mapping | None = True) -> DataFrame:
-    return df.withColumn(col, redact_text(F.col(col), option))
+def redact(
+    df: DataFrame,
+    col: str,
+    option: bool | Mapping | None = True,
+    terms: Mapping[str, DataFrame] | None = None,
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """Redact the patterns of the chosen entities, then PERSON and LOCATION by the user's tables of terms (column `term`).
+
+    No pattern can find the last two. An option that names one of them without a table for it is an error; with
+    `True` or no list of entities, only those are redacted that have a pattern or a table.
+    """
+    opt = normalise_option(option)
+    if opt is None:
+        return df
+    tables = dict(terms or {})
+    named = () if option is True else dict(option).get("entities") or ()
+    missing = sorted(set(named) - set(_PATTERNS) - set(tables))
+    if missing:
+        raise ValueError(f"{', '.join(missing)} needs a table of terms")
+    df = df.withColumn(col, redact_text(F.col(col), option))
+    for entity in ENTITIES:
+        if entity in tables and entity in opt["entities"]:
+            df = redact_terms(df, id_col, col, tables[entity], entity, style=opt["replaceStyle"])
+    return df
 
 
 def _hit_row(entity: str) -> Callable[[Column, Column], Column]:

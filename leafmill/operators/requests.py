@@ -86,8 +86,8 @@ def split_formats(df: DataFrame, csv: str = "formats_csv", out: str = "formats",
 
 
 def check_formats(df: DataFrame, col: str = "formats") -> DataFrame:
-    """Every format must be one of the seven on the wire (`text` was withdrawn)."""
-    known = F.forall(F.col(col), lambda f: f.isin(*FORMATS))
+    """Every format must be one of the seven on the wire (`text` was withdrawn); a null entry is none of them."""
+    known = F.forall(F.col(col), lambda f: F.coalesce(f.isin(*FORMATS), F.lit(False)))
     return _add_error(df, ~F.coalesce(known, F.lit(True)), invalid("format is not available", "FORMAT_UNAVAILABLE"))
 
 
@@ -97,8 +97,12 @@ def check_engine(df: DataFrame, col: str = "engine", default: str = "google") ->
 
 
 def check_num(df: DataFrame, col: str = "num", default: int = DEFAULT_NUM) -> DataFrame:
-    df = df.withColumn(col, F.coalesce(F.col(col), F.lit(default)).cast("int"))
-    return _add_error(df, ~F.col(col).between(1, MAX_NUM), invalid(f"num must be between 1 and {MAX_NUM}"))
+    """Missing means the default. Anything but a whole number from 1 to MAX_NUM is an error, and null if no INT holds it."""
+    given = F.coalesce(F.col(col).cast("string"), F.lit(str(default))).try_cast("double")
+    whole = F.coalesce((F.floor(given) == given) & (F.abs(given) < 2**31), F.lit(False))
+    df = df.withColumn(col, F.when(whole, given).try_cast("int"))
+    bad = ~F.coalesce(F.col(col).between(1, MAX_NUM), F.lit(False))
+    return _add_error(df, bad, invalid(f"num must be between 1 and {MAX_NUM}"))
 
 
 def check_url_syntax(df: DataFrame, col: str = "url") -> DataFrame:
@@ -148,7 +152,7 @@ def build_search_requests(df: DataFrame, out: str = "body") -> DataFrame:
 
 
 def chunk_batches(
-    df: DataFrame, job: str, seq: str, n: int = MAX_BATCH_URLS, heavy: list | None = None
+    df: DataFrame, job: str, seq: str, n: int = MAX_BATCH_URLS, heavy: dict | None = None
 ) -> DataFrame:
     """Number the URLs of each job in `seq` order and cut them into chunks of at most `n`.
 

@@ -43,7 +43,7 @@ def scrape(
     requests: DataFrame,
     pages: DataFrame,
     rules: Mapping[str, str | Mapping] | None = None,
-    heavy: list | None = None,
+    heavy: dict | None = None,
 ) -> DataFrame:
     """One document per row of `requests (request_id, url, formats[, error])`.
 
@@ -83,7 +83,7 @@ def scrape(
     )
 
 
-def scrape_get(urls: DataFrame, pages: DataFrame, heavy: list | None = None) -> DataFrame:
+def scrape_get(urls: DataFrame, pages: DataFrame, heavy: dict | None = None) -> DataFrame:
     """Markdown-only scrape of `(request_id, url[, error])`."""
     return scrape(urls.withColumn("formats", F.array(F.lit("markdown"))), pages, heavy=heavy).select(
         "request_id", "url", "success", "markdown", "metadata", "error"

@@ -12,6 +12,7 @@ from leafmill.functions import html as H
 from leafmill.functions.text import blank_to_null
 from leafmill.operators.credits import search_credit
 from leafmill.plans.skew import bounded_join
+from leafmill.schemas import DEFAULT_NUM
 
 # BM25 parameters.
 K1 = 1.2
@@ -113,12 +114,23 @@ def positions(scored: DataFrame, depth: int) -> DataFrame:
     return scored.withColumn("position", F.row_number().over(order)).where(F.col("position") <= depth)
 
 
-def top_num(scored: DataFrame, num: int = 10) -> DataFrame:
-    return positions(scored, num)
+def with_page(queries: DataFrame) -> DataFrame:
+    """Queries with `num` and `start` given: 10 and 0 where they are missing."""
+    return queries.withColumns(
+        {"num": F.coalesce("num", F.lit(DEFAULT_NUM)), "start": F.coalesce("start", F.lit(0))}
+    )
+
+
+def top_num(scored: DataFrame, queries: DataFrame) -> DataFrame:
+    """Each query's own `num` best pages; 10 where it is missing."""
+    wanted = queries.select("query_id", F.coalesce("num", F.lit(DEFAULT_NUM)).alias("num"))
+    depth = wanted.agg(F.max("num")).first()[0] or 0
+    return positions(scored, depth).join(wanted, "query_id").where(F.col("position") <= F.col("num")).drop("num")
 
 
 def paginate(ranked: DataFrame) -> DataFrame:
-    """Keep places `start + 1 .. start + num`; both are columns, `start` counts from 0."""
+    """Keep places `start + 1 .. start + num`; both are columns, `start` counts from 0; 0 and 10 where they are missing."""
+    ranked = with_page(ranked)
     return ranked.where(
         (F.col("position") > F.col("start")) & (F.col("position") <= F.col("start") + F.col("num"))
     )
@@ -151,6 +163,7 @@ def search(queries: DataFrame, pages: DataFrame, index: Index | None = None, lan
     """
     if "error" in queries.columns:
         queries = queries.where(F.col("error").isNull())
+    queries = with_page(queries)
     index = index or build_index(pages)
     depth = queries.agg(F.max(F.col("start") + F.col("num"))).first()[0] or 0
     ranked = positions(score(queries, index, language), depth)
@@ -179,6 +192,7 @@ def search_events(queries: DataFrame, hits: DataFrame) -> DataFrame:
     )
     ends = 2**31 - 1
     web = none.cast(pages.schema["web"].dataType).alias("web")
+    queries = with_page(queries)
     good = queries.where(F.col("error").isNull())
     found = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
     done = good.join(found, "query_id", "left").select(

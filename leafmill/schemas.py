@@ -13,17 +13,3 @@ MAX_NUM = 100
 DEFAULT_NUM = 10
 
 ERROR = "status INT, code STRING, message STRING, retryable BOOLEAN"
-
-METADATA = (
-    "title STRING, description STRING, language STRING, source_url STRING, url STRING, status_code INT, "
-    "scrape_id STRING, credits_used DOUBLE, cache_state STRING, content_type STRING, favicon STRING"
-)
-
-HIT = "url STRING, title STRING, description STRING, position INT"
-
-STREAM_EVENT = (
-    f"type STRING, data STRUCT<web: ARRAY<STRUCT<{HIT.replace(' STRING', ': STRING').replace(' INT', ': INT')}>>>, "
-    "partial BOOLEAN, creditsUsed DOUBLE, id STRING, code STRING, message STRING"
-)
-
-LOG = "id STRING, started_at_ms BIGINT, duration_ms INT, url VARIANT, status INT, final_outcome STRING"

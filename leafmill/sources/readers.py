@@ -36,7 +36,9 @@ def _read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_scrape_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    return documents_from_envelopes(_read_lines(spark, path).select("body"))
+    """Documents, one for each line; a line that is no JSON object is kept in `bad_line` and has success false."""
+    bad = F.when(object_of(F.col("body")).isNull(), F.col("value"))
+    return documents_from_envelopes(_read_lines(spark, path).select("body", bad.alias("bad_line")))
 
 
 def read_batch_envelopes(spark: SparkSession, path: str) -> DataFrame:

@@ -108,7 +108,7 @@ def x07(spark, d):
 
 def _inner(pattern):
     found = f"regexp_extract({S.clean()}, '{pattern}', 1)"
-    return S.collapse(S.decode(S.rep(found, r"(?s)<[^>]+>")))
+    return S.collapse(S.decode(S.rep(found, S.TAG)))
 
 
 @add(
@@ -140,7 +140,7 @@ def x09(spark, d):
     "x09_fields_multiple",
     rf"""with nav as (select page_id, regexp_extract({S.clean()}, '(?is)<nav>(.*?)</nav>', 1) as nav from pages)
     select page_id, unnest(list_transform(regexp_extract_all(nav, '<li>(.*?)</li>', 1),
-        lambda v: {S.collapse(S.decode(S.rep('v', '<[^>]+>')))})) as value,
+        lambda v: {S.collapse(S.decode(S.rep('v', S.TAG)))})) as value,
       cast(generate_subscripts(regexp_extract_all(nav, '<li>(.*?)</li>', 1), 1) - 1 as int) as idx from nav""",
 )
 def x09_multiple(spark, d):
@@ -243,8 +243,8 @@ def x12(spark, d):
 )
 def j03(spark, d):
     reqs = R.require_url(scrape_requests(spark, d).select("request_id", "url")).drop("error")
-    found = reqs.join(X.page_metadata(_pages(spark, d)).select("url", "page_id"), "url", "left")
-    return found.groupBy(F.col("page_id").isNotNull().alias("found")).agg(F.count(F.lit(1)).alias("n"))
+    docs = scrape(reqs.withColumn("formats", F.array().cast("array<string>")), _pages(spark, d))
+    return docs.groupBy(F.col("success").alias("found")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _batch_docs(spark, d):
@@ -299,7 +299,7 @@ def s10(spark, d):
 
 _HITS_SQL = f"""select {S.strip("coalesce(title, '') || chr(10) || coalesce(description, '')")} as text, url, title from (
   select url, {S.title(S.clean())} as title, case when page_id % 3 = 0 then null
-    else {S.collapse(S.decode(S.rep(f"regexp_extract({S.clean()}, '(?is)<h1[^>]*>(.*?)</h1>', 1)", '(?s)<[^>]+>')))} end as description from pages)"""
+    else {S.collapse(S.decode(S.rep(f"regexp_extract({S.clean()}, '(?is)<h1[^>]*>(.*?)</h1>', 1)", S.TAG)))} end as description from pages)"""
 
 
 def _hits(spark, d):

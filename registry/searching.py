@@ -140,26 +140,31 @@ def q05(spark, d):
 @add(
     "w02_positions",
     with_views(
-        _score_sql() + " select query_id, page_id, score, cast(position as int) as position from ranked where position <= 100",
+        _score_sql() + """ select query_id, page_id, score, cast(position as int) as position from ranked
+        where position <= (select max(start + num) from search_queries where trim(q) <> '')""",
         "search_queries",
     ),
 )
 def w02(spark, d):
-    """Ranks down to the deepest page of results a search may ask for at once."""
+    """Ranks down to the deepest place that a query asks for."""
     queries = _queries(spark, d).where("error is null")
-    return Q.positions(Q.score(queries, _index(spark, d)), 100)
+    depth = queries.agg(F.max(F.col("start") + F.col("num"))).first()[0]
+    return Q.positions(Q.score(queries, _index(spark, d)), depth)
 
 
 @add(
     "t02_top_num",
     with_views(
-        _score_sql() + " select query_id, page_id, score, cast(position as int) as position from ranked where position <= 10",
+        _score_sql()
+        + """ select r.query_id, r.page_id, r.score, cast(r.position as int) as position
+        from ranked r join search_queries q using (query_id) where position <= q.num""",
         "search_queries",
     ),
 )
 def t02(spark, d):
+    """Each query's own number of results."""
     queries = _queries(spark, d).where("error is null")
-    return Q.top_num(Q.score(queries, _index(spark, d)))
+    return Q.top_num(Q.score(queries, _index(spark, d)), queries)
 
 
 @add(

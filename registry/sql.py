@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+TAG = r"</?[A-Za-z][^>]*>|<[!?][^>]*>"
 WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
@@ -31,7 +32,7 @@ def clean(x: str = "html") -> str:
 
 
 def plain(x: str) -> str:
-    return collapse(decode(rep(x, r"(?s)<[^>]+>", " ")))
+    return collapse(decode(rep(x, TAG, " ")))
 
 
 def markdown(x: str) -> str:
@@ -45,10 +46,12 @@ def markdown(x: str) -> str:
     x = rep(x, r"(?is)<(?:b|strong)>([^<]*)</(?:b|strong)>", r"**\1**")
     x = rep(x, r"(?is)<(?:i|em)>([^<]*)</(?:i|em)>", r"*\1*")
     x = rep(x, r"(?i)<br\s*/?>", "\n")
+    x = rep(x, r"(?i)</?(?:td|th)\b[^>]*>", " ")
     x = rep(
-        x, r"(?i)</?(?:p|div|ul|ol|nav|article|footer|section|header|main|table|tr)\b[^>]*>", "\n\n"
+        x, r"(?i)</?(?:p|div|ul|ol|nav|article|footer|section|header|main|table|tr|dt|dd|pre|blockquote|figure|form)\b[^>]*>",
+        "\n\n",
     )
-    x = decode(rep(x, r"(?s)<[^>]+>"))
+    x = decode(rep(x, TAG))
     x = rep(rep(rep(x, r"[ \t]+", " "), r" ?\n ?", "\n"), r"\n{3,}", "\n\n")
     return rep(x, r"^\s+|\s+$")
 
@@ -62,6 +65,7 @@ def title(x: str) -> str:
 
 
 def snake(x: str) -> str:
+    # API keys with a set snake_case name.
     known = {
         "sourceURL": "source_url", "statusCode": "status_code", "scrapeId": "scrape_id",
         "creditsUsed": "credits_used", "cacheState": "cache_state", "rawHtml": "raw_html",

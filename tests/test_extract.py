@@ -124,7 +124,7 @@ def test_scrape_copies_and_formats(spark, rows):
     assert json.loads(docs[1]["json"]) == {"head": "new"} and docs[1]["links"] == [] and docs[1]["markdown"] is None
     assert docs[2]["error"] == "page not found" and docs[2]["metadata"] is None
     assert docs[3]["html"] is None and docs[3]["metadata"]["credits_used"] == 1.0
-    hot = rows(scrape(requests, pages, rules={"head": "h1"}, heavy=["https://a.org/"]), "request_id")
+    hot = rows(scrape(requests, pages, rules={"head": "h1"}, heavy={"https://a.org/": 3_000_000}), "request_id")
     assert hot == docs
     assert [d["markdown"] for d in rows(scrape_get(requests.drop("formats"), pages), "request_id")] == ["# new", "# new", None, "b"]
 
@@ -145,3 +145,24 @@ def test_loader_records(spark, rows):
     assert llama == {"page_content": "", "metadata": {"url": "final", "title": "t"}}
     with pytest.raises(ValueError):
         D.to_loader_documents(docs, "crawl")
+
+
+def test_odd_markup(spark, rows):
+    html = (
+        "<h1>1 < 2 and 3 > 2</h1><a title=\"see href=bad\" href=\"/good\">a&#8217;b</a><a href='HTTP://Up.org/'>u</a>"
+        "<a href=\"\n/nl \">n</a><table><tr><td>alpha</td><td>beta</td></tr></table><dl><dt>t</dt><dd>d</dd></dl>"
+        "<p>caf&eacute; &mdash; a&#64;b.org &#x20AC; &amp;lt; &#xD800; &#99999999; &apos;</p><img data-src=no alt='src=x' src=i.png>"
+    )
+    page = spark.createDataFrame([(1, "https://h.org/d/p", html)], "page_id long, url string, html string")
+    (doc,) = rows(X.extract(page, X.TEXT_FORMATS))
+    assert [u.lower() for u in doc["links"]] == ["https://h.org/good", "http://up.org/", "https://h.org/nl"]
+    assert doc["images"] == ["https://h.org/d/i.png"] and doc["emails"] == ["a@b.org"]
+    text = doc["markdown"]
+    assert "# 1 < 2 and 3 > 2" in text and "a’b" in text and "alpha beta" in text.replace("  ", " ") and "td" not in text
+    assert "café — a@b.org € &lt; &#xD800; &#99999999; '" in text
+
+
+def test_tags_without_the_attribute_are_read_fast(spark):
+    long = "<a " + "x" * 20_000 + ">" + "<a " + "b=c " * 5_000 + ">"
+    df = spark.createDataFrame([(long,)], "t string").select(H.attribute(F.col("t"), "href").alias("v"))
+    assert df.first()["v"] is None

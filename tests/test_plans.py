@@ -66,7 +66,7 @@ def test_page_bodies_move_by_page_only(spark, pages, no_broadcast):
     requests = pages.select(
         F.col("page_id").alias("request_id"), "url", F.array(F.lit("markdown")).alias("formats")
     )
-    text = plan(scrape(requests, pages, heavy=[]))
+    text = plan(scrape(requests, pages, heavy={}))
     # Copies of a URL are reduced on their keys before any page body is read.
     assert "partial_max(page_id" in text
     assert "ReadSchema: struct<page_id:bigint,url:string>" in text

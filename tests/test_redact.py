@@ -54,3 +54,14 @@ def test_terms(spark):
     masked = one(R.redact_terms(docs, "id", "text", terms.where("term = 'Ana'"), "PERSON", style="mask"))
     assert masked[0] == "*** of New York City met ***-Lu in York; New Yorker."
     assert one(R.redact_terms(docs, "id", "text", terms.limit(0), "PERSON"))[0].startswith("Ana of")
+
+
+def test_people_and_places_need_terms(spark, rows):
+    docs = spark.createDataFrame([(1, "Ada Low met x@y.org in Rome."), (2, None)], "doc_id int, text string")
+    with pytest.raises(ValueError, match="PERSON needs a table"):
+        R.redact(docs, "text", {"entities": ["PERSON", "EMAIL"]})
+    tables = {"PERSON": spark.createDataFrame([("Ada Low",)], "term string"), "LOCATION": spark.createDataFrame([("Rome",)], "term string")}
+    got = rows(R.redact(docs, "text", {"entities": ["PERSON", "EMAIL", "LOCATION"]}, tables), "doc_id")
+    assert [r["text"] for r in got] == ["[PERSON] met [EMAIL] in [LOCATION].", None]
+    only = rows(R.redact(docs, "text", {"entities": ["PERSON"]}, tables), "doc_id")
+    assert only[0]["text"] == "[PERSON] met x@y.org in Rome."

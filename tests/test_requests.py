@@ -104,3 +104,12 @@ def test_rollup(spark, rows):
     book = C.credit_ledger(C.ledger(scrapes, searches, ["day"]), ["kind", "day"])
     got = {(r["kind"], r["day"]): r["credits"] for r in rows(book)}
     assert got[(None, None)] == 5 and got[("scrape", None)] == 3 and got[("search", "a")] == 2
+
+
+def test_numbers_and_formats_never_raise(spark, rows):
+    given = [("5", 5, True), (None, 10, True), ("abc", None, False), ("3000000000", None, False), ("2.5", None, False), ("0", 0, False), ("1e2", 100, True)]
+    df = spark.createDataFrame([(i, g[0]) for i, g in enumerate(given)], "i int, num string")
+    got = rows(R.check_num(df), "i")
+    assert [(r["num"], r["error"] is None) for r in got] == [g[1:] for g in given]
+    formats = spark.createDataFrame([(1, ["markdown", None]), (2, ["markdown"]), (3, None)], "i int, formats array<string>")
+    assert [r["error"] is None for r in rows(R.check_formats(formats), "i")] == [False, True, True]

@@ -75,6 +75,18 @@ def test_result_pages(spark, rows):
 
 
 def test_rank_is_cut_before_the_shuffle(spark, pages):
-    scored = Q.score(ask(spark, (1, "apple", 10, 0)), Q.build_index(pages))
-    plan = Q.top_num(scored, 10)._jdf.queryExecution().executedPlan().toString()
+    asked = ask(spark, (1, "apple", 10, 0))
+    scored = Q.score(asked, Q.build_index(pages))
+    plan = Q.top_num(scored, asked)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_missing_num_and_start(spark, rows, pages):
+    queries = ask(spark, (1, "apple", None, None), (2, "apple", 1, None))
+    hits = rows(Q.search(queries, pages), "query_id", "position")
+    assert [h["position"] for h in hits if h["query_id"] == 1] == list(range(1, 1 + len([h for h in hits if h["query_id"] == 1])))
+    assert len([h for h in hits if h["query_id"] == 2]) == 1
+    done = {e["query_id"]: e for e in rows(Q.search_events(queries, Q.search(queries, pages))) if e["type"] == "done"}
+    assert done[1]["partial"] is True and done[2]["partial"] is False
+    scored = Q.score(queries, Q.build_index(pages))
+    assert [r["query_id"] for r in rows(Q.top_num(scored, queries)) if r["query_id"] == 2] == [2]
