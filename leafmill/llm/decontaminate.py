@@ -20,7 +20,7 @@ from leafmill.llm.common import kept, small_side
 WORDS = 5
 THRESHOLD = 0.8
 #: Most rows that are broadcast: sketch entries (16 bytes), and candidates with their items' shingles (about 2 KB).
-MOST_SKETCH, MOST_FOUND = 1_000_000, 100_000
+MOST_SKETCH, MOST_FOUND = 1_000_000, 30_000
 
 
 def words(text: Column) -> Column:
@@ -116,4 +116,4 @@ def decontaminated(
     """The documents in which no item is found, all columns and repeated rows; null ids stay."""
     bad = find_items(docs, items, id_col, text_col, item_id_col, item_text_col, threshold)
     bad = kept(bad.select(F.col(id_col).alias("_bad")).distinct())
-    return docs.join(small_side(bad, MOST_SKETCH), F.col(id_col) == F.col("_bad"), "left_anti")
+    return docs.join(small_side(bad, MOST_SKETCH), docs[id_col] == bad["_bad"], "left_anti")

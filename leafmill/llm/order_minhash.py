@@ -307,10 +307,9 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     classes = near_duplicates(df, id_col, text_col, threshold)
     lone = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy(F.col(id_col).alias("_id"))
     lone = kept(lone.agg(F.count(F.lit(1)).alias("_rows")))
-    rows = df.join(
-        small_side(lone, MOST_TEXTS), F.col(id_col).eqNullSafe(F.col("_id")), "inner"
-    )
-    once, again = rows.where("_rows = 1"), rows.where("_rows > 1")
-    if lone.where("_rows > 1").isEmpty():
-        return once.select(*df.columns)
-    return once.select(*df.columns).union(again.dropDuplicates(["_id"]).select(*df.columns))
+
+    def rows(which: DataFrame) -> DataFrame:
+        return df.join(small_side(which, MOST_TEXTS), df[id_col].eqNullSafe(which["_id"]), "left_semi")
+
+    once, again = lone.where("_rows = 1").select("_id"), lone.where("_rows > 1").select("_id")
+    return rows(once) if again.isEmpty() else rows(once).union(rows(again).dropDuplicates([id_col]))
