@@ -126,8 +126,8 @@ def images(cleaned: Column, base: Column) -> Column:
 
 
 def emails(cleaned: Column) -> Column:
-    """Addresses in the text, then those of `mailto:` links, each once. Pages without an `@` are not searched."""
-    return F.when(cleaned.contains("@"), _emails(cleaned)).otherwise(F.when(cleaned.isNotNull(), _no_strings()))
+    """Addresses in the text, then those of `mailto:` links, each once. Pages without an `@` or a numeric reference are not searched."""
+    return F.when(cleaned.contains("@") | cleaned.contains("&#"), _emails(cleaned)).otherwise(F.when(cleaned.isNotNull(), _no_strings()))
 
 
 def _no_strings() -> Column:
