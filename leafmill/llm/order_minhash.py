@@ -8,9 +8,10 @@ one of BANDS bands are candidates. At a Jaccard similarity of 0.6 a pair is miss
 A candidate is verified by its edit distance in words, 1 - distance / longer length >= threshold, computed inside the band
 of diagonals that the threshold allows, after a bound by the words in common.
 
-Candidates are compared with the first text of their bucket, never all with all. Where a bucket then still has members of
-several classes, those of different classes are compared if it has at most MEMBERS; in a larger one each is compared with
-one more member, drawn by a hash.
+Candidates are compared with the first text of their bucket. Where a bucket then still has members of several classes,
+those of different classes are compared if it has at most MEMBERS. Members of larger ones are cut again, exactly: of two
+similar texts, the rarest labelled word pairs of each have one in common (prefixes()). They meet the first text with such a
+pair, and those of classes that are still different then meet each other, however many they are.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from leafmill.llm.common import importable, kept, over_texts, small_side, text_p
 
 SHINGLE, KMERS, ROWS, BANDS = 5, 2, 1, 24
 THRESHOLD = 0.8
-#: Most members of a bucket for those of different classes to be compared with each other; in larger ones each is compared
-#: with the first member and one drawn by a hash.
+#: Most members of a bucket for those of different classes to be compared with each other; larger ones are cut by prefixes().
 MEMBERS = 16
+#: Slots in which the word pairs of large mixed buckets are counted; they only order them, the rare ones first.
+SLOTS = 1 << 18
 #: Most texts that are picked out of the documents by a broadcast list.
 MOST_TEXTS = 500_000
 
@@ -55,11 +57,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def labelled(words: np.ndarray) -> np.ndarray:
+def labelled(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     """Hashes of the shingles, each with its number of occurrence. A shorter text is one shingle."""
-    n = max(len(words) - SHINGLE + 1, 1)
+    n = max(len(words) - size + 1, 1)
     out = np.zeros(n, np.uint64)
-    for k in range(min(SHINGLE, len(words))):
+    for k in range(min(size, len(words))):
         out = mixed(out + words[k : k + n] + np.uint64(k))
     order = np.argsort(out, kind="stable")
     ordered = out[order]
@@ -212,19 +214,90 @@ def _verifier(threshold: float):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """The pairs (first, node) that are similar. Only the texts of these nodes are cut into words and moved."""
+def sequences(nodes: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(node, seq): the word hashes of these nodes."""
     importable(docs.sparkSession)
-    nodes = pairs.select(F.explode(F.array("first", "node")).alias("node")).distinct()
     wanted = kept(nodes.join(reps, "node"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     seqs = texts.join(small_side(wanted, MOST_TEXTS), F.col("_id").eqNullSafe(F.col("rep"))).select("node", "_text")
-    seqs = kept(seqs.mapInArrow(_sequences, "node long, seq binary").where("seq is not null").dropDuplicates(["node"]))
+    return kept(seqs.mapInArrow(_sequences, "node long, seq binary").where("seq is not null").dropDuplicates(["node"]))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """The pairs (first, node) that are similar. Only the texts of these nodes are cut into words and moved."""
+    nodes = pairs.select(F.explode(F.array("first", "node")).alias("node")).distinct()
+    seqs = sequences(nodes, docs, reps, id_col, text_col)
     a = seqs.select(F.col("node").alias("first"), F.col("seq").alias("a"))
     both = pairs.join(seqs, "node").join(a, "first").select("first", "node", "seq", "a")
     return both.mapInArrow(_verifier(threshold), "first long, node long")
 
 
+def prefix_size(n: int, size: int, threshold: float) -> int:
+    """How many of the word tuples of a text of `n` words, in any order that holds for all texts, are sure to have one in
+    common with as many of every text that is similar and not shorter or longer than that allows.
+
+    An edit changes at most `size` of the labelled tuples, so a similar text has all but that many of the longer text's.
+    """
+    longer = np.arange(n, int(n / threshold + 1e-9) + 1)
+    common = longer - size + 1 - size * (longer * (1 - threshold) + 1e-9).astype(np.int64)
+    return max(n - size + 1, 1) - max(int(common.min()), 1) + 1
+
+
+def _tuples(seq: bytes, size: int) -> np.ndarray:
+    return labelled(np.frombuffer(seq, np.uint32).astype(np.uint64), size)
+
+
+def _slot_counter(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for seq in batch.column(1).to_pylist():
+                np.add.at(total, (_tuples(seq, size) % np.uint64(SLOTS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["slot", "n"])
+
+    return run
+
+
+def _prefixer(counts, size: int, threshold: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = counts.value
+        for batch in batches:
+            for piece in text_pieces(batch):
+                nodes, found = [], []
+                for node, seq in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+                    own = _tuples(seq, size)
+                    order = np.lexsort((own, often[(own % np.uint64(SLOTS)).astype(np.int64)]))
+                    found.append(own[order[: prefix_size(len(seq) // 4, size, threshold)]].view(np.int64))
+                    nodes.append(np.full(len(found[-1]), node, np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(found))], ["node", "key"])
+
+    return run
+
+
+def prefixes(seqs: DataFrame, threshold: float) -> DataFrame:
+    """(node, key): the rarest labelled word pairs of each text (words at low thresholds), as many as similar texts need to
+    have one in common. What is common to many texts, as a template, comes last and is left out as far as that allows."""
+    size = 2 if threshold >= 0.75 else 1
+    told = seqs.mapInArrow(_slot_counter(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[told["slot"].to_numpy()] = told["n"].to_numpy()
+    counts = seqs.sparkSession.sparkContext.broadcast(counts)
+    return kept(seqs.mapInArrow(_prefixer(counts, size, threshold), "node long, key long"))
+
+
+def _several(rows: DataFrame) -> DataFrame:
+    """The rows (key, node, n_words, root) of keys with several roots, with the number `n` of the key's rows."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
+    return rows.join(sizes.where("a <> b").select("key", "n"), "key")
+
+
+def _across(rows: DataFrame) -> DataFrame:
+    """(first, n_first, node, n_words): all pairs of a key's rows with different roots."""
+    one = rows.select("key", "root", F.col("node").alias("first"), F.col("n_words").alias("n_first"))
+    return one.join(rows.select("key", F.col("root").alias("r1"), "node", "n_words"), "key").where("root < r1").drop("key", "root", "r1")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): each node of the edges (first, node) with the least node it is connected to.
 
@@ -266,21 +339,25 @@ def links(
     tried = kept(led.select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node")).distinct())
     found = told(tried)
 
+    def new(pairs: DataFrame, old: DataFrame) -> DataFrame:
+        pairs = pairs.where(fits).select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node"))
+        return kept(pairs.distinct().join(old, ["first", "node"], "left_anti"))
+
+    def placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+        return rows.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
     # Buckets that still hold several classes.
-    placed = members.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"),
-        F.min_by(F.struct("root", entry.alias("f")), F.xxhash64("key", "node")).alias("one"),
-    )
-    mixed_up = placed.join(sizes.where("a <> b").drop("a", "b"), "key")
-    few = mixed_up.where(F.col("n") <= MEMBERS).select("key", "root", F.col("node").alias("first"), F.col("n_words").alias("n_first"))
-    other = few.select("key", F.col("root").alias("r1"), F.col("first").alias("node"), F.col("n_first").alias("n_words"))
-    many = mixed_up.where((F.col("n") > MEMBERS) & (F.col("root") != F.col("one.root")))
-    pairs = few.join(other, "key").where("root < r1").select("first", "n_first", "node", "n_words").union(
-        many.select("one.f.first", "one.f.n_first", "node", "n_words")
-    )
-    pairs = pairs.where(fits).select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node"))
-    return found.union(told(kept(pairs.distinct().join(tried, ["first", "node"], "left_anti"))))
+    mixed_up = kept(_several(placed(members, found)))
+    pairs = _across(mixed_up.where(F.col("n") <= MEMBERS))
+    wide = kept(mixed_up.where(F.col("n") > MEMBERS).select("node", "n_words").distinct())
+    if wide.isEmpty():
+        return found.union(told(new(pairs, tried)))
+    cut = wide.join(prefixes(sequences(wide.select("node"), docs, reps, id_col, text_col), threshold), "node")
+    firsts = cut.groupBy("key").agg(F.min(entry).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "f.*")
+    met = cut.join(firsts, "key").where(F.col("node") != F.col("first")).select("first", "n_first", "node", "n_words")
+    pairs = new(pairs.union(met), tried)
+    tried, found = tried.union(pairs), found.union(told(pairs))
+    return found.union(told(new(_across(_several(placed(cut, found))), tried)))
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -169,6 +169,39 @@ def test_classes_by_brute_force(spark):
     assert order_minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_large_mixed_buckets_by_brute_force(spark):
+    rng = random.Random(21)
+    rows = []
+    for share in (30, 40):  # two passages of 30 and 40 of 60 words, each common to 108 texts
+        passage = prose(share, rng)
+        for _ in range(36):
+            own = prose(60 - share, rng).split()
+            for _ in range(3):
+                w = list(own)
+                for _ in range(4):
+                    w[rng.randrange(len(w))] = "".join(rng.choice(SYLLABLES) for _ in range(5))
+                rows.append((len(rows), passage + " " + " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = [tuple(r) for r in order_minhash.near_duplicates(df).collect()]
+    want = brute_classes(rows)
+    assert len({c for _, c, _ in want}) > 60
+    assert sorted(got) == sorted(want)
+
+
+def test_similar_texts_share_a_rare_pair():
+    rng = random.Random(6)
+    for _ in range(3000):
+        a = [rng.randrange(6) for _ in range(rng.randint(5, 40))]
+        b = list(a)
+        for _ in range(rng.randint(0, len(a) // 4)):
+            at, how = rng.randrange(len(b)), rng.randrange(3)
+            b[at : at + (how != 0)] = [rng.randrange(6)] * (how != 1)
+        size, threshold = rng.choice([(1, 0.6), (2, 0.8)])
+        if distance(a, b) <= int(max(len(a), len(b)) * (1 - threshold) + 1e-9):
+            cut = [set(np.sort(order_minhash._tuples(np.array(x, np.uint32).tobytes(), size))[: order_minhash.prefix_size(len(x), size, threshold)]) for x in (a, b)]
+            assert cut[0] & cut[1]
+
+
 def test_one_of_each_class_stays(spark):
     rows = [r for r in near_rows() if r[0] is not None]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _rows string")
