@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import importable, kept, over_texts, small_side, text_pieces
+from leafmill.llm.common import importable, kept, small_side, text_pieces, with_columns
 
 SHINGLE, KMERS, ROWS, BANDS = 5, 2, 1, 24
 THRESHOLD = 0.8
@@ -123,9 +123,10 @@ def _sketcher():
     return work
 
 
-def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, node, n_words, bands array<long>) for each row of `df`; texts without words have no bands."""
-    return over_texts(df, id_col, text_col, _sketcher, "node long, n_words long, bands array<long>")
+def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more) -> DataFrame:
+    """(id, node, n_words, bands array<long>) for each row of `df`, and the columns `more`; texts without words have no bands."""
+    source = df.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"), *(c.alias(k) for k, c in more.items()))
+    return with_columns(source, "_text", _sketcher, "node long, n_words long, bands array<long>").drop("_text")
 
 
 def distance_within(a: list, b: list, most: int) -> int | None:
@@ -360,6 +361,13 @@ def links(
     return found.union(told(new(_across(_several(placed(cut, found))), tried)))
 
 
+def _rooted(df: DataFrame, id_col: str, text_col: str, threshold: float, **more) -> DataFrame:
+    """(id, node, _root) for each row of `df`, and the columns `more`; rows of equal _root are a class."""
+    sketched = kept(sketches(df, id_col, text_col, **more))
+    roots = components(links(sketched, df, id_col, text_col, threshold))
+    return sketched.join(roots, "node", "left").select(id_col, "node", *more, F.coalesce("root", "node").alias("_root"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """(id, class_id, class_size) for each row of `df`; class_id is the least id of the class.
 
@@ -367,26 +375,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     match only equal ones; texts without words (null counts as empty) only the same text. Repeated rows and null ids each
     give their row; a class with null ids alone has a null class_id. An empty table gives an empty table.
     """
-    sketched = kept(sketches(df, id_col, text_col))
-    roots = components(links(sketched, df, id_col, text_col, threshold))
-    rows = sketched.select(id_col, "node").join(roots, "node", "left").select(
-        id_col, F.coalesce("root", "node").alias("_root")
-    )
+    rows = _rooted(df, id_col, text_col, threshold)
     classes = rows.groupBy("_root").agg(F.min(id_col).alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return rows.join(classes, "_root").select(id_col, "class_id", "class_size")
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `df` that have the least id of their class, with all columns; one row where rows repeat that id.
-
-    Only rows with repeated ids are shuffled whole. Rows with null ids stay if their class has no other.
+    """One row of each class with all columns: that of the least id, where it has several texts of the least node and text
+    hash. A class of null ids alone keeps one too. Only rows that repeat both the id and the text are shuffled whole.
     """
-    classes = near_duplicates(df, id_col, text_col, threshold)
-    lone = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).groupBy(F.col(id_col).alias("_id"))
-    lone = kept(lone.agg(F.count(F.lit(1)).alias("_rows")))
+    told = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    each = _rooted(df, id_col, text_col, threshold, _hash=told).groupBy("_root", id_col, "node", "_hash")
+    each = each.agg(F.count(F.lit(1)).alias("_rows"))
+    least = F.min(F.struct(F.col(id_col).isNull().alias("_none"), F.col(id_col).alias("_id"), "node", "_hash", "_rows"))
+    lone = kept(each.groupBy("_root").agg(least.alias("_one")).select("_one._id", "_one._hash", "_one._rows"))
+    mark = "_hash"
+    while mark in df.columns:
+        mark += "_"
+    marked = df.withColumn(mark, told)
 
     def rows(which: DataFrame) -> DataFrame:
-        return df.join(small_side(which, MOST_TEXTS), df[id_col].eqNullSafe(which["_id"]), "left_semi")
+        same = marked[id_col].eqNullSafe(which["_id"]) & (marked[mark] == which["_hash"])
+        return marked.join(small_side(which, MOST_TEXTS), same, "left_semi")
 
-    once, again = lone.where("_rows = 1").select("_id"), lone.where("_rows > 1").select("_id")
-    return rows(once) if again.isEmpty() else rows(once).union(rows(again).dropDuplicates([id_col]))
+    once, again = (lone.where(x).select("_id", "_hash") for x in ("_rows = 1", "_rows > 1"))
+    left = rows(once) if again.isEmpty() else rows(once).union(rows(again).dropDuplicates([id_col, mark]))
+    return left.select(*df.columns)

@@ -210,6 +210,16 @@ def test_one_of_each_class_stays(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, c, _ in brute_classes(rows)})
 
 
+def test_one_of_each_class_by_text(spark):
+    a, b, c, d, e = (prose(50).replace("ß", "s") for _ in range(5))
+    rows = [(None, a), (None, b), (None, c), (1, c), (2, d), (2, e), (3, d + " !"), (None, a), (None, a.upper()), (None, None), (None, "")]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, _hash int").repartition(3)
+    left = order_minhash.one_of_each(df)
+    assert left.columns == df.columns
+    got = sorted((str(r.doc_id), (r.text or "").lower()) for r in left.collect())
+    assert got == sorted([("None", a), ("None", b), ("None", ""), ("1", c), ("2", d), ("2", e)])
+
+
 def test_chains_are_one_class(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 103), (102, 103)]
     RNG.shuffle(edges)
