@@ -5,14 +5,23 @@ each paragraph of several lines, and the whole text if it has several paragraphs
 sets of word bigrams: dice = 2 * common / (bigrams of the unit + bigrams of the template). A dice of `threshold` needs
 sizes within threshold / (2 - threshold) of each other, so units meet only the templates whose bounds hold their size:
 an equi-join on the size, the templates being listed under each size in their bounds.
+
+Notices that are no unit of their own (several paragraphs of a longer text, lines of a paragraph, a part of a line) are
+passages: stretches of words with the greatest dice, outside the units found for the same template. A text can hold one
+only if it has threshold / (2 - threshold) of the template's bigrams, so few texts are searched.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+import re
+from bisect import bisect_left, insort
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import small_side
+from leafmill.llm.common import small_side, with_columns
 
 THRESHOLD = 0.8
 #: Most rows of the size table, and of the templates, that are broadcast.
@@ -107,6 +116,107 @@ def sized(templates: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]
     return own, own.select("license", "_template", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("_size"))
 
 
+_GAP = re.compile("\n(?: ?\n)+")
+
+
+def _told(words: list[str], want: set) -> float:
+    have = set(zip(words, words[1:]))  # noqa: B905
+    return 2.0 * len(have & want) / (len(have) + len(want))
+
+
+def _taken(clean: str, want: set, threshold: float) -> list[tuple[int, int]]:
+    """Word ranges, ends exclusive, of the text's units that reach the threshold."""
+    parts = _GAP.split(clean)
+    out = []
+    for pieces, counts in (
+        (clean.split("\n"), lambda x: True), (parts, lambda x: "\n" in x.strip(" ")), ([clean], lambda x: len(parts) > 1)
+    ):
+        at = 0
+        for x in pieces:
+            words = x.split()
+            if counts(x) and len(words) > 1 and _told(words, want) >= threshold:
+                out.append((at, at + len(words)))
+            at += len(words)
+    return out
+
+
+def passages(clean: str, words: list[str], hits: list[int], want: set, threshold: float) -> list[tuple[int, int, int]]:
+    """(first word, common bigrams, bigrams) of the stretches that reach the threshold, the greatest dice first and none over
+    another or over a unit that was found. `hits` has the positions of the template's bigrams."""
+    pairs, high = list(zip(words, words[1:])), math.floor(len(want) * ((2 - threshold) / threshold) + 1e-9)  # noqa: B905
+    blocked: list[tuple[int, int]] = []
+    for a, b in sorted(_taken(clean, want, threshold)):
+        if blocked and a < blocked[-1][1]:
+            blocked[-1] = (blocked[-1][0], max(b, blocked[-1][1]))
+        else:
+            blocked.append((a, b))
+
+    def best(start: int):
+        """The best stretch from here to the next one that is taken, for the heap."""
+        k = bisect_left(blocked, (start + 1, 0))
+        if k and blocked[k - 1][1] > start:
+            return None
+        stop = min(len(pairs), blocked[k][0] - 1) if k < len(blocked) else len(pairs)
+        seen, common, top = set(), 0, None
+        for j in range(start, stop):
+            pair = pairs[j]
+            if pair in seen:
+                continue
+            seen.add(pair)
+            if len(seen) > high:
+                break
+            if pair in want:
+                common += 1
+                dice = 2.0 * common / (len(seen) + len(want))
+                if dice >= threshold and (top is None or dice > -top[0]):
+                    top = (-dice, start, j + 2, common, len(seen))
+                if common == len(want):
+                    break
+        return top
+
+    heap = [x for x in map(best, hits) if x]
+    heapq.heapify(heap)
+    out = []
+    while heap:
+        top = heapq.heappop(heap)
+        now = best(top[1])
+        if now == top:
+            out.append((top[1], top[3], top[4]))
+            insort(blocked, (top[1], top[2]))
+        elif now:
+            heapq.heappush(heap, now)
+    return sorted(out)
+
+
+def _searcher(shared, threshold: float):
+    def make():
+        templates = [(name, {tuple(x.split(" ")) for x in want}) for name, want in shared.value]
+        index: dict = {}
+        for k, (_, want) in enumerate(templates):
+            for pair in want:
+                index.setdefault(pair, []).append(k)
+        least = [math.ceil(len(want) * (threshold / (2 - threshold)) - 1e-9) for _, want in templates]
+
+        def search(clean: str) -> list[dict]:
+            words = clean.split()
+            hits: dict[int, list[int]] = {}
+            for i, pair in enumerate(zip(words, words[1:])):  # noqa: B905
+                if pair in index:
+                    for k in index[pair]:
+                        hits.setdefault(k, []).append(i)
+            out = []
+            for k, at in hits.items():
+                name, want = templates[k]
+                if len(at) >= least[k] and len({(words[i], words[i + 1]) for i in at}) >= least[k]:
+                    for first, common, size in passages(clean, words, at, want, threshold):
+                        out.append({"unit_no": first, "license": name, "n_common": common, "n_unit": size, "n_template": len(want)})
+            return out
+
+        return lambda texts: [[search(t) for t in texts]]
+
+    return make
+
+
 def scan_licenses(
     df: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -115,6 +225,7 @@ def scan_licenses(
     Null, empty and one-word texts and templates have no bigrams and match nothing. Ties stay: a unit gives a row for
     each template. Repeated rows and null ids give their rows each; repeated templates count once. Whole texts
     are cut where they are read; template tables are broadcast after their rows are counted, else Spark shuffles.
+    The unit_no of a passage is the number of its first word; for passages, the templates go through the driver.
     """
     own, sizes = sized(templates, threshold)
     cut = units(df, id_col, text_col).withColumn("_words", word_list(F.col("_text")))
@@ -125,5 +236,11 @@ def scan_licenses(
         F.size(F.array_intersect("_have", "_want")).cast("long").alias("n_common"),
         F.size("_have").cast("long").alias("n_unit"), F.size("_want").cast("long").alias("n_template"),
     )
+    shared = df.sparkSession.sparkContext.broadcast([(r[0], r[1]) for r in own.select("license", "_want").collect()])
+    text = normalised(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("_clean")
+    fields = "unit_no: long, license: string, n_common: long, n_unit: long, n_template: long"
+    found = with_columns(df.select(F.col(id_col), text), "_clean", _searcher(shared, threshold), f"_found array<struct<{fields}>>")
+    found = found.select(id_col, F.explode("_found").alias("_p")).select(id_col, F.lit("passage").alias("unit"), "_p.*")
+    both = both.unionByName(found)
     dice = F.col("n_common") * 2.0 / (F.col("n_unit") + F.col("n_template"))
     return both.withColumn("dice", dice).where(F.col("dice") >= threshold)

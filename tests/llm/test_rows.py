@@ -247,6 +247,19 @@ def test_licenses_of_odd_rows(spark):
     assert licenses.scan_licenses(df.limit(0), licenses.template_table(spark)).count() == 0
 
 
+def test_licenses_inside_longer_texts(spark):
+    code = " ".join(f"value{i} = step{i}({i})" for i in range(400))
+    mit = licenses.TEMPLATES["MIT"].replace("conditions: ", "conditions:\n\n").replace("Software. THE", "Software.\n\nTHE")
+    wrapped = "Some words before it.\nReleased under\nthe MIT License.\nSome words after it and more of them."
+    texts = [f"# Title\n\n{mit}\n\n{code}\n\n{mit}\n\n{code}", wrapped, f"{code} Licensed under CC BY-NC 4.0. {code}", licenses.TEMPLATES["ISC"], code]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.scan_licenses(df, licenses.template_table(spark)).collect()
+    assert sorted((r.doc_id, r.unit, r.license) for r in got) == [
+        (0, "passage", "MIT"), (0, "passage", "MIT"), (1, "passage", "MIT-notice"), (2, "passage", "CC-BY-NC-4.0-notice"), (3, "line", "ISC")
+    ]
+    assert all(r.dice == 1 for r in got)
+
+
 def test_size_bounds_lose_no_template(spark):
     words = [f"w{i}" for i in range(14)]
     rows = [(i, " ".join(words[a : a + n])) for i, (a, n) in enumerate((a, n) for a in range(5) for n in range(2, 10))]
