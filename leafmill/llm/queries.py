@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import decontaminate, licenses, order_minhash, pieces, quality, repeats, secret_scan, sharding, token_counts, urls
+from leafmill.llm import (
+    decontaminate, licenses, order_minhash, phrases, pieces, quality, repeats, secret_scan, sharding, spelling, token_counts,
+    urls, vectors,
+)
 from leafmill.llm import sql as S
 from registry.base import Entries
 
@@ -98,3 +101,18 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @ENTRIES.add("op2_order_minhash")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@ENTRIES.add("op11_vector_dedup", S.OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_classes(table(spark, sf_dir, "embeddings"))
+
+
+@ENTRIES.add("op12_spelling_variants", S.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@ENTRIES.add("op13_phrases", S.OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))

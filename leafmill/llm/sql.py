@@ -132,3 +132,102 @@ j as (select h.*, license, len(list_intersect(have, want)) as n_common, len(have
 select doc_id, unit, unit_no, license, n_common, n_unit, n_template, n_common * 2.0::double / (n_unit + n_template) as dice
 from j where n_common * 2.0::double / (n_unit + n_template) >= 0.8
 """
+
+# Cosines of all pairs of a label; components by following links.
+OP11 = """
+with recursive v as (
+  select vec_id, label, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+), u as (
+  select vec_id, label, e from v
+  where label is not null and e is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(e, lambda x: x <> 0)) > 0
+), links as (
+  select a.vec_id as a, b.vec_id as b from u a join u b
+    on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.98
+), reached(a, b) as (
+  select vec_id, vec_id from v union select r.a, l.b from reached r join links l on r.b = l.a
+), least as (select a, min(b) as component_id from reached group by a),
+n as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from v join least on least.a = vec_id left join n on n.a = vec_id
+"""
+
+# The checksum runs over the bytes of the text with a table made from its polynomial.
+OP12 = r"""
+with recursive steps(c, v, k) as (
+  select range, range, 0 from range(256)
+  union all select c, case when v & 1 = 1 then xor(3988292384, v >> 1) else v >> 1 end, k + 1 from steps where k < 8
+), crc as (select list(v order by c) as t from steps where k = 8),
+runs as (
+  select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as n
+  from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents) group by all
+), coded as (
+  select *, hex(encode(concat(doc_id, ':', run))) as x from runs
+), summed as (
+  select run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(len(x) // 2), lambda i: cast('0x' || x[2 * i + 1 : 2 * i + 2] as bigint))),
+    lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) as h
+  from coded, crc
+), words as (
+  select case when h % 97 = 0 then run[: h % length(run)] || run[h % length(run) + 2 :] else run end as word, n from summed
+), vocab as (
+  select word, cast(sum(n) as bigint) as n from words where length(word) >= 5 group by word having sum(n) >= 3
+), cut as (
+  select word, n, i, word[: i - 1] || word[i + 1 :] as rest
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from vocab)
+), pairs as (
+  select a.word, b.word as near from cut a join cut b on a.rest = b.rest and a.i = b.i and a.word <> b.word
+  union select c.word, v.word from cut c join vocab v on c.rest = v.word
+  union select v.word, c.word from cut c join vocab v on c.rest = v.word
+), best as (
+  select p.word, count(*) as n_near, max(v.n) as most, arg_min(p.near, (-v.n, encode(p.near))) as near
+  from pairs p join vocab v on v.word = p.near group by p.word
+), told as (
+  select v.word, v.n, coalesce(n_near, 0) as n_near, case when most >= 2 * v.n then near end as form,
+    case when most >= 2 * v.n then most end as form_n
+  from vocab v left join best b on b.word = v.word
+), ways(word, here, k) as (
+  select word, word, 0 from told
+  union all select w.word, t.form, k + 1 from ways w join told t on t.word = w.here where t.form is not null
+), ends as (select word, arg_max(here, k) as root from ways group by word)
+select t.word, form, root, n, n_near, form_n from told t join ends e on e.word = t.word
+"""
+
+OP13 = r"""
+with pieces as (
+  select row_number() over () as piece, * from (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as t
+    from documents)
+), words as (
+  select lang, piece, unnest(w) as w, unnest(range(len(w))) as pos
+  from (select lang, piece, regexp_extract_all(t, '[^\x20\x09]+') as w from pieces)
+), f1 as (select lang, w as p, count(*) as f from words group by all),
+totals as (select lang, cast(sum(f) as bigint) as n from f1 group by lang),
+next as (
+  select lang, w as w1, lead(w) over x as w2, lead(w, 2) over x as w3 from words window x as (partition by piece order by pos)
+), f2 as (
+  select lang, w1, w2, w1 || ' ' || w2 as p, count(*) as f from next where w2 is not null group by all having count(*) >= 10
+), f3 as (
+  select lang, w1, w2, w3, w1 || ' ' || w2 || ' ' || w3 as p, count(*) as f
+  from next where w3 is not null group by all having count(*) >= 10
+), cuts as (
+  select lang, p, f as a, 1 as k, w1 as x, w2 as y from f2
+  union all select lang, p, f, 1, w1, w2 || ' ' || w3 from f3
+  union all select lang, p, f, 2, w1 || ' ' || w2, w3 from f3
+), parts as (select lang, p, f from f1 union all select lang, p, f from f2),
+scored as (
+  select c.lang, c.p, a, k, l.f as l, r.f as r, (1000000::hugeint * a * a) // (l.f::hugeint * r.f) as score
+  from cuts c join parts l on l.lang = c.lang and l.p = x join parts r on r.lang = c.lang and r.p = y
+), lowest as (
+  select * from scored qualify row_number() over (partition by lang, p order by score, k) = 1
+), held as (
+  select lang, p, max(f) as f from (
+    select lang, w1 || ' ' || w2 as p, f from f3 union all select lang, w2 || ' ' || w3, f from f3) group by all
+), ranked as (
+  select s.lang, row_number() over (partition by s.lang order by score desc, a desc, encode(s.p)) as rank, s.p as phrase, a, l, r,
+    cast(score as bigint) as score
+  from lowest s left join held h on h.lang = s.lang and h.p = s.p where h.f is null or 100 * h.f < 50 * a
+)
+select k.lang, rank, phrase, a, l, r, n, score from ranked k join totals t on t.lang = k.lang where rank <= 2000
+"""
