@@ -30,8 +30,8 @@ TIMES, LONGEST, FIRST = 10, 3, 2000
 COVERED = 50
 #: Bits of a bitmap of frequent groups: 8 MB.
 FILTER_BITS = 1 << 26
-#: Words that a task counts at a time.
-_UNIT = 1 << 21
+#: Words that a task counts at a time; of all languages together it holds up to twice as many.
+_UNIT = 1 << 19
 _PAGE = 32768  # bits of one value of bitmap_construct_agg
 
 _TO_PIECES = bytes(
@@ -97,7 +97,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, n
             if size[lang] >= _UNIT:
                 yield lang, *_joined(held.pop(lang))
                 size[lang] = 0
-        if sum(size.values()) > 4 * _UNIT:
+        if sum(size.values()) > 2 * _UNIT:
             for lang in list(held):
                 yield lang, *_joined(held.pop(lang))
             size.clear()
