@@ -83,12 +83,22 @@ def _group_hash(hashes: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of whole texts with at most a quarter of a unit's words, or one text."""
+    at = np.cumsum(pc.list_value_length(batch.column(1)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start, done = 0, 0
+    while start < len(at):
+        stop = max(start + 1, int(np.searchsorted(at, done + _UNIT // 4, side="right")))
+        yield batch.slice(start, stop - start)
+        start, done = stop, int(at[stop - 1])
+
+
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
     """(lang, words, last) of whole texts, about _UNIT words at a time."""
     held: dict[str, list] = {}
     size: dict[str, int] = {}
 
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _slices(whole)):
         langs = batch.column(0)
         for lang in pc.unique(langs).to_pylist():
             own = batch.filter(pc.equal(langs, lang))
