@@ -6,7 +6,8 @@ of terms.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import unicodedata
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,16 +16,21 @@ from leafmill.functions.html import let
 from leafmill.plans.skew import bounded_join
 from leafmill.schemas import ENTITIES, REDACT_MODES, REPLACE_STYLES
 
-# Secrets go first and cards before phones, so that a long run of digits is not taken for a phone.
+# Secrets go first and cards before phones, so that a long run of digits is not taken for a phone; places before people, so
+# that a name inside a place's name does not spoil it.
 ORDER = ("SECRET", "EMAIL", "FINANCIAL", "PHONE", "LOCATION", "PERSON")
 
 _PATTERNS = {
-    "SECRET": r'(token = "[0-9a-f]{40}")',
+    # A named value; a bearer token; keys that tell what they are by their first letters.
+    "SECRET": r"((?i:password|passwd|secret|token|api[_-]?key)[\"']?[ ]{0,3}[:=][ ]{0,3}[\"']?[A-Za-z0-9+/_.=$!@#%^&*-]{6,}[\"']?"
+    r"|Bearer [A-Za-z0-9._~+/=-]{16,}|A[KS]IA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})",
     "EMAIL": r"([A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,})",
-    "FINANCIAL": r"(\b[0-9]{16}\b)",
-    "PHONE": r"(\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4})",
+    # 13 to 19 digits, in groups or not.
+    "FINANCIAL": r"(\b(?:[0-9][ -]?){12,18}[0-9]\b)",
+    # International numbers, and national ones with the area in brackets.
+    "PHONE": r"(\+[1-9][0-9]{0,2}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[-.][0-9]{4})",
 }
-_LOOSE_PHONE = r"((?:\+[0-9]{1,3} )?\(?[0-9]{3}\)?[ -][0-9]{3}-[0-9]{4})"
+_LOOSE_PHONE = _PATTERNS["PHONE"][:-1] + r"|\b[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}\b)"
 
 _MODE_ENTITIES = {
     "fast": ("SECRET", "EMAIL", "PHONE"),
@@ -80,12 +86,15 @@ def _rewrite(text: Column, pattern: str, new: Callable[[Column], Column]) -> Col
 
 def _may_hold(text: Column, entity: str, mode: str) -> Column:
     """A cheap test that a text can have hits: a literal every match contains, else a search for the first match."""
-    literal = {"SECRET": 'token = "', "EMAIL": "@", "PHONE": None if mode == "aggressive" else "+1 ("}.get(entity)
-    return text.contains(literal) if literal else text.rlike(dict(patterns(mode))[entity])
+    if entity == "EMAIL":
+        return text.contains("@")
+    if entity == "PHONE" and mode != "aggressive":
+        return text.contains("+") | text.contains("(")
+    return text.rlike(dict(patterns(mode))[entity])
 
 
 def luhn_ok(c: Column) -> Column:
-    return F.call_function("luhn_check", c)
+    return F.call_function("luhn_check", F.translate(c, " -", ""))
 
 
 def _replace_card(style: str) -> Callable[[Column], Column]:
@@ -122,7 +131,7 @@ def redact(
     terms: Mapping[str, DataFrame] | None = None,
     id_col: str = "doc_id",
 ) -> DataFrame:
-    """Redact the patterns of the chosen entities, then PERSON and LOCATION by the user's tables of terms (column `term`).
+    """Redact the patterns of the chosen entities, then LOCATION and PERSON by the user's tables of terms (column `term`).
 
     No pattern can find the last two. An option that names one of them without a table for it is an error; with
     `True` or no list of entities, only those are redacted that have a pattern or a table.
@@ -136,7 +145,7 @@ def redact(
     if missing:
         raise ValueError(f"{', '.join(missing)} needs a table of terms")
     df = df.withColumn(col, redact_text(F.col(col), option))
-    for entity in ENTITIES:
+    for entity in ORDER:
         if entity in tables and entity in opt["entities"]:
             df = redact_terms(df, id_col, col, tables[entity], entity, style=opt["replaceStyle"])
     return df
@@ -165,6 +174,9 @@ def find_pii(df: DataFrame, id_col: str, col: str, option: bool | Mapping = True
     return df.select(id_col, F.inline(F.concat(*found)))
 
 
+#: Most terms, and letters in all of them, that redact_terms() puts in one pattern.
+MOST_TERMS, MOST_LETTERS = 20_000, 400_000
+
 _WORD = r"([\p{L}\p{N}_]+|[^\p{L}\p{N}_]+)"
 
 
@@ -197,37 +209,110 @@ def find_terms(df: DataFrame, id_col: str, col: str, terms: DataFrame, term: str
     ).select(id_col, "first", "last")
 
 
+def _quoted(c: str) -> str:
+    return c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):x}}}"
+
+
+_IN_WORD = r"\p{L}\p{N}_"
+
+
+def term_pattern(terms: Iterable[str]) -> str:
+    """A pattern for all of these terms, as a tree over their common beginnings, so that a place in a text costs the letters
+    that fit and not the number of terms. Of several terms that start at a place the longest matches. A match starts and
+    ends where words and separators meet, as the pieces of _WORD do."""
+    tree: dict = {}
+    for t in terms:
+        at = tree
+        for c in t:
+            at = at.setdefault(c, {})
+        at[""] = t
+
+    def written(node: dict) -> str:
+        said = ""
+        while len(node) == 1 and "" not in node:  # letters without a choice
+            (c, node), = node.items()
+            said += _quoted(c)
+        ways = [_quoted(c) + written(below) for c, below in sorted(node.items()) if c]
+        if "" in node:
+            ways.append(f"(?![{_IN_WORD}])" if _is_word(node[""][-1]) else f"(?![^{_IN_WORD}])")
+        return said + (ways[0] if len(ways) == 1 else f"(?:{'|'.join(ways)})")
+
+    starts = []
+    for word, edge in ((True, f"(?<![{_IN_WORD}])"), (False, f"(?<![^{_IN_WORD}])")):
+        own = {c: below for c, below in tree.items() if c and _is_word(c) == word}
+        if own:
+            starts.append(edge + written(own))
+    return f"({'|'.join(starts)})"
+
+
+def _is_word(c: str) -> bool:
+    return c == "_" or unicodedata.category(c)[0] in "LN"
+
+
 def redact_terms(
     df: DataFrame, id_col: str, col: str, terms: DataFrame, entity: str, term: str = "term", style: str = "tag"
 ) -> DataFrame:
     """Redact the user's terms. Where matches overlap, the one that starts first wins, then the longest.
 
-    Matches are gathered per text (never more than the text has words) and the text is put together in one pass.
+    Terms match whole words, exactly as written; null terms and terms without a letter or digit match nothing. Each row is
+    redacted by its own text; `id_col` may be null or repeated and is not read. A null text stays null.
+
+    Up to MOST_TERMS terms of MOST_LETTERS letters in all become one pattern, and the redaction a projection. Larger tables
+    are joined with the terms' places in the distinct texts.
     """
-    spans = find_terms(df, id_col, col, terms, term)
+    wanted = terms.select(F.col(term).cast("string").alias("_term")).where(F.col("_term").rlike(r"[\p{L}\p{N}_]")).distinct()
+    some = wanted.limit(MOST_TERMS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("_term")).alias("letters")).first()
+    if not some["n"]:
+        return df
+    if some["n"] > MOST_TERMS or some["letters"] > MOST_LETTERS:
+        return _redact_by_join(df, col, wanted, entity, style)
+    pattern = term_pattern(r["_term"] for r in wanted.collect())
+    text = F.col(col)
+    if style == "mask":
+        changed = F.when(text.rlike(pattern), _rewrite(text, pattern, lambda m: _stand_in(entity, style, m))).otherwise(text)
+    else:
+        changed = F.regexp_replace(text, F.lit(pattern), F.lit(f"[{entity}]" if style == "tag" else ""))
+    return df.withColumn(col, changed)
+
+
+def _redact_by_join(df: DataFrame, col: str, terms: DataFrame, entity: str, style: str) -> DataFrame:
+    """Places depend on the text alone, so they are found once for each distinct text and looked up by its digest."""
     order = F.struct("first", (-F.col("last")).alias("_back"), F.col("last").alias("last"))
-    per_text = spans.groupBy(id_col).agg(F.sort_array(F.collect_list(order)).alias("_spans"))
-    kept = F.aggregate(
-        "_spans",
+    key, spans, words, new = _unused(df, "_text_key", "_spans", "_words", "_new")
+    texts = df.select(F.sha2(F.col(col), 256).alias(key), F.col(col).alias("_text")).where(F.col("_text").isNotNull())
+    found = find_terms(texts.dropDuplicates([key]), key, "_text", terms, "_term")
+    per_text = found.groupBy(key).agg(F.sort_array(F.collect_list(order)).alias(spans))
+    first_longest = F.aggregate(
+        spans,
         F.array().cast("array<struct<first: int, _back: int, last: int>>"),
         lambda acc, s: F.when(
             (F.size(acc) == 0) | (s["first"] > F.element_at(acc, -1)["last"]), F.array_append(acc, s)
         ).otherwise(acc),
     )
-    joined = df.join(per_text, id_col, "left").withColumn("_kept", kept)
-    words = F.when(F.size("_kept") > 0, F.regexp_extract_all(F.col(col), F.lit(_WORD), 1))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
-        gap = F.slice(F.col("_words"), acc["at"] + 1, s["first"] - acc["at"])
-        hit = F.array_join(F.slice(F.col("_words"), s["first"] + 1, s["last"] - s["first"] + 1), "")
+        gap = F.slice(F.col(words), acc["at"] + 1, s["first"] - acc["at"])
+        hit = F.array_join(F.slice(F.col(words), s["first"] + 1, s["last"] - s["first"] + 1), "")
         piece = F.concat(F.array_join(gap, ""), _stand_in(entity, style, hit))
         return F.struct((s["last"] + 1).alias("at"), F.array_append(acc["out"], piece).alias("out"))
 
     def finish(acc: Column) -> Column:
-        rest = F.slice(F.col("_words"), acc["at"] + 1, F.greatest(F.size("_words") - acc["at"], F.lit(0)))
+        rest = F.slice(F.col(words), acc["at"] + 1, F.greatest(F.size(words) - acc["at"], F.lit(0)))
         return F.concat(F.array_join(acc["out"], ""), F.array_join(rest, ""))
 
-    rebuilt = joined.withColumn("_words", words).withColumn("_new", F.aggregate("_kept", start, step, finish))
-    changed = F.when(F.size("_kept") > 0, F.col("_new")).otherwise(F.col(col))
+    joined = df.withColumn(key, F.sha2(F.col(col), 256)).join(per_text, key, "left").withColumn(spans, first_longest)
+    cut = F.when(F.size(spans) > 0, F.regexp_extract_all(F.col(col), F.lit(_WORD), 1))
+    rebuilt = joined.withColumn(words, cut).withColumn(new, F.aggregate(spans, start, step, finish))
+    changed = F.when(F.size(spans) > 0, F.col(new)).otherwise(F.col(col))
     return rebuilt.withColumn(col, changed).select(*df.columns)
+
+
+def _unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores behind them until no column of `df` has them."""
+    out = []
+    for name in names:
+        while name in df.columns:
+            name += "_"
+        out.append(name)
+    return out

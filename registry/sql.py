@@ -80,16 +80,24 @@ def snake(x: str) -> str:
 
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-SECRET = r'token = "[0-9a-f]{40}"'
-CARD = r"\b[0-9]{16}\b"
-PHONE = r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}"
-LOOSE_PHONE = r"(?:\+[0-9]{1,3} )?\(?[0-9]{3}\)?[ -][0-9]{3}-[0-9]{4}"
+SECRET = (
+    r"""(?i:password|passwd|secret|token|api_key|api-key|apikey)["']? {0,3}[:=] {0,3}["']?[-+/_.=$!@#%^&*A-Za-z0-9]{6,}["']?"""
+    r"|Bearer [-+/_.=~A-Za-z0-9]{16,}|(?:AKIA|ASIA)[0-9A-Z]{16}|gh[opsru]_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}"
+)
+CARD = r"\b(?:\d[- ]?){12,18}\d\b"
+PHONE = r"\+[1-9]\d{0,2}[- .]?(?:\(\d{1,4}\)[- .]?)?\d{2,4}(?:[- .]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[-.]\d{4}"
+LOOSE_PHONE = PHONE + r"|\b\d{3}[- .]\d{3}[- .]\d{4}\b"
+
+
+def quoted(pattern: str) -> str:
+    return pattern.replace("'", "''")
 
 
 def luhn(x: str) -> str:
-    """Whether sixteen digits pass the check: every other digit from the left is doubled."""
-    digit = f"cast({x}[i] as int)"
+    """Whether the digits pass the check: from the right, every second one is doubled."""
+    digits = f"list_reverse(string_split(regexp_replace({x}, '[- ]', '', 'g'), ''))"
+    digit = f"cast({digits}[i] as int)"
     return (
-        f"list_sum(list_transform(range(1, 17), lambda i: case when i % 2 = 1 "
+        f"list_sum(list_transform(range(1, len({digits}) + 1), lambda i: case when i % 2 = 0 "
         f"then ({digit} * 2) // 10 + ({digit} * 2) % 10 else {digit} end)) % 10 = 0"
     )
