@@ -161,7 +161,7 @@ class Model:
     def decode(self, ids: list[int]) -> str:
         """The text of ids; a byte that is not part of a character becomes U+FFFD, as in the library."""
         raw = b"".join(map(self.plain.__getitem__, ids))
-        if self.prefix and ids and ids[0] in self.marked:
+        if self.prefix and next((i for i in ids if self.plain[i]), None) in self.marked:  # control pieces show nothing
             raw = raw[1:]
         try:
             return raw.decode()

@@ -8,6 +8,7 @@ nearly its own length, while an identifier, a path or a repeated value adds litt
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import zstandard
@@ -33,6 +34,7 @@ _SENSITIVE = re.compile(
     r"passw|passphrase|secret|token|api.?key|private.?key|access.?key|credential|authoriz|bearer|signature", re.ASCII | re.I
 )
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
+_TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
 _PLAIN = re.compile(r"[A-Za-z]*|[0-9_/=+-]*")
 
 #: Words that code and configuration use everywhere: the start of the dictionary.
@@ -72,17 +74,30 @@ def novel_spans(text: str, taken: list[tuple[int, int, int]], least: float = NOV
     """Candidates near sensitive words that the compressor can't foresee, apart from the spans in `taken`."""
     out, upto = [], 0
     for hint in _SENSITIVE.finditer(text):
-        for m in _CANDIDATE.finditer(text, max(hint.end(), upto)):
-            if m.start() > hint.end() + NEAR:
-                break
-            start, end = m.span()
+        latest = hint.end() + NEAR
+        # A candidate shows its first MIN_CHARS characters by here; its end is looked for once it is known to start in time.
+        while m := _CANDIDATE.search(text, max(hint.end(), upto), min(latest + MIN_CHARS, len(text))):
+            start, end = m.start(), _TOKEN.match(text, m.start()).end()
             upto = end
-            if not _PLAIN.fullmatch(m[0]) and not any(a < end and start < b for a, _, b in taken):
+            token = text[start:end]
+            if not _PLAIN.fullmatch(token) and not any(a < end and start < b for a, _, b in _around(taken, start, end)):
                 if novelty(text, start, end) >= least:
                     out.append((start, 3, end))
     return out
 
 
+def _around(taken: list[tuple[int, int, int]], start: int, end: int) -> list[tuple[int, int, int]]:
+    """Of spans in order of their start, those that may meet [start, end): the ones that start in it, and the last of each
+    kind before it (spans of a kind don't overlap)."""
+    low, high = bisect.bisect_left(taken, (start,)), bisect.bisect_left(taken, (end,))
+    before, kinds = [], set()
+    for span in reversed(taken[max(0, low - 64) : low]):
+        if span[1] not in kinds:
+            kinds.add(span[1])
+            before.append(span)
+    return before + taken[low:high]
+
+
 def spans(text: str) -> list[tuple[int, int, int]]:
     base = base_spans(text)
     return sorted(base + novel_spans(text, base))
@@ -122,6 +137,9 @@ def _masker():
 
 def mask_secrets(df: DataFrame, text_col: str = "text") -> DataFrame:
     """`df` with the spans in its text column replaced by a mark; null texts stay null, other columns as they are."""
-    done = with_columns(df, text_col, _masker, "_masked string")
-    text = F.when(F.col(text_col).isNotNull(), F.col("_masked"))
-    return done.withColumn(text_col, text).drop("_masked").select(*df.columns)
+    name = "_masked"
+    while name in df.columns:
+        name += "_"
+    done = with_columns(df, text_col, _masker, f"{name} string")
+    text = F.when(F.col(text_col).isNotNull(), F.col(name))
+    return done.withColumn(text_col, text).drop(name).select(*df.columns)

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -325,3 +327,37 @@ def test_pipeline_of_odd_rows(spark, sf_dir):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, out, sf_dir)
         assert out.count() == (2 if table is docs else 0)
+
+
+def test_long_texts_with_few_edits():
+    """Two texts of 200,000 words: time and memory follow their length."""
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 5000, 200_000).astype(np.uint32)
+    b = np.delete(a, [7, 100_000])
+    b[150_000] = 6000
+    tracemalloc.start()
+    begin = time.perf_counter()
+    assert order_minhash.similar(a, b, 0.8) and not order_minhash.similar(a, a[::-1].copy() + np.uint32(5000), 0.8)
+    assert time.perf_counter() - begin < 20 and tracemalloc.get_traced_memory()[1] < 100e6
+    tracemalloc.stop()
+
+
+def test_unlike_texts_of_a_template(spark):
+    """Texts that share 75 of 100 words: none are similar, and few pairs are tried."""
+    rng = random.Random(12)
+    frame = [f"word{i}" for i in range(75)]
+    rows = [(k, " ".join(frame[:40] + [f"own{rng.randrange(10**6)}" for _ in range(25)] + frame[40:])) for k in range(400)]
+    tried = []
+    verified = order_minhash.verified
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return verified(pairs, *rest)
+
+    order_minhash.verified = counted
+    try:
+        got = order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    finally:
+        order_minhash.verified = verified
+    assert all(r.class_id == r.doc_id and r.class_size == 1 for r in got) and len(got) == 400
+    assert sum(tried) < 10_000

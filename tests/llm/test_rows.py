@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import public_tokenizers
 import pytest
@@ -276,3 +277,24 @@ def test_size_bounds_lose_no_template(spark):
         if 2 * len(pairs(x) & pairs(t.template)) >= 0.8 * (len(pairs(x)) + len(pairs(t.template)))
     }
     assert got == want
+
+
+def test_decode_skips_what_shows_nothing(library):
+    enc = pieces.encoder(pieces.read_model(MODEL))
+    for ids in ([1, 475], [2, 1, 475, 475], [475, 1, 475], [1, 2], [0, 475], [1, 0, 475], []):
+        assert enc.model.decode(ids) == library.decode(ids)
+
+
+def test_secrets_in_long_texts():
+    """Time follows the length, whatever is repeated."""
+    begin = time.perf_counter()
+    assert secret_scan.spans("the token of a word " * 100_000) == []
+    key = "x9F3kLq8Zr2Vt7Wb4Ns6"
+    text = "the token of a word " * 50_000 + f"bearer {key} " + "a1" * 500_000
+    assert (text.index(key), 3, text.index(key) + len(key)) in secret_scan.spans(text)
+    assert time.perf_counter() - begin < 10
+
+
+def test_masks_beside_a_column_of_that_name(spark):
+    df = spark.createDataFrame([("password=abcdefgh1", 1)], "text string, _masked int")
+    assert [tuple(r) for r in secret_scan.mask_secrets(df).collect()] == [("[SECRET]", 1)]
