@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
@@ -88,6 +89,23 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a Parquet table in the shared folder: narrower than a checkpoint, and Spark knows its size. spent() removes
+    it before the session ends."""
+    path = f"{checkpoint_root(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_at = path
+    return back
+
+
+def spent(df: DataFrame) -> None:
+    """Removes what written() wrote. Nothing that is still to be computed may read it."""
+    context = df.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(df.written_at)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_side(df: DataFrame, most_rows: int) -> DataFrame:
     """`df` marked for broadcast if it has at most `most_rows` rows, which are counted first; else as it is, so that the
     join shuffles both sides."""
