@@ -8,10 +8,12 @@ one of BANDS bands are candidates. At a Jaccard similarity of 0.6 a pair is miss
 A candidate is verified by its edit distance in words, 1 - distance / longer length >= threshold, computed inside the band
 of diagonals that the threshold allows, after a bound by the words in common.
 
-Candidates are compared with the first text of their bucket. Where a bucket then still has members of several classes,
-those of different classes are compared if it has at most MEMBERS. Members of larger ones are cut again, exactly: of two
-similar texts, the rarest labelled word pairs of each have one in common (prefixes()). They meet the first text with such a
-pair, and those of classes that are still different then meet each other, however many they are.
+Equal texts are one. A text is compared with the first text of its largest bucket, so that most of a large class comes
+together by one pair a text; then with the first of its other buckets, where that is of another class still. Where a bucket
+then has members of several classes, those of different classes are compared if it has at most MEMBERS. Members of larger
+ones are cut again, exactly: of two similar texts, the rarest labelled words, or word pairs, of each have one in common
+(prefixes()). They meet the first text with such a tuple, and those of classes that are still different then meet each
+other, however many they are.
 """
 
 from __future__ import annotations
@@ -25,13 +27,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import importable, kept, small_side, text_pieces, with_columns
+from leafmill.llm.common import importable, kept, small_side, spent, text_pieces, with_columns, written
 
 SHINGLE, KMERS, ROWS, BANDS = 5, 2, 1, 24
 THRESHOLD = 0.8
 #: Most members of a bucket for those of different classes to be compared with each other; larger ones are cut by prefixes().
 MEMBERS = 16
-#: Slots in which the word pairs of large mixed buckets are counted; they only order them, the rare ones first.
+#: Pairs of one text that are compared in a task.
+PARTNERS = 1000
+#: Slots in which the word tuples of large mixed buckets are counted; they only order them, the rare ones first.
 SLOTS = 1 << 18
 #: Most texts that are picked out of the documents by a broadcast list.
 MOST_TEXTS = 500_000
@@ -129,32 +133,48 @@ def sketches(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **mo
     return with_columns(source, "_text", _sketcher, "node long, n_words long, bands array<long>").drop("_text")
 
 
+def trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sequences without their equal beginning and, of what is left, without their equal end."""
+    for _ in range(2):
+        n = min(len(a), len(b))
+        apart = np.flatnonzero(a[:n] != b[:n])
+        same = int(apart[0]) if len(apart) else n
+        a, b = a[same:][::-1], b[same:][::-1]
+    return a, b
+
+
 def distance_within(a: list, b: list, most: int) -> int | None:
     """The edit distance of two sequences if it is at most `most`.
 
     Only diagonals up to `most` from the main one are looked at: a column of differences inside this band is two integers,
-    one bit for each row, and moves down by one row with each element of `b`.
+    one bit for each row, and moves down by one row with each element of `b`. Of each element, the places in `a` are kept as
+    far as the band reaches.
     """
     if len(a) < len(b):
         a, b = b, a
     if len(a) - len(b) > most:
         return None
-    while b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
     if not b:
         return len(a)
     # Bit k of the window at column j stands for row j - most + k of `a` (rows from 0), k in 0 .. 2 * most.
     width = 2 * most + 1
     full = (1 << width) - 1
-    rows: dict = {}
-    for i, x in enumerate(a):
-        rows[x] = rows.get(x, 0) | 1 << i
+    places: dict = {}  # element: (row of bit 0, its rows)
+    entered = 0
     up, down = full & ~((1 << most) - 1), 0  # differences going down the column: +1 and -1
     score, last = min(most, len(a)), len(a) - 1
     for j, x in enumerate(b):
-        seen = rows.get(x, 0)
         low = j - most
-        equal = (seen >> low if low > 0 else seen << -low) & full
+        while entered <= min(j + most, last):
+            y = a[entered]
+            base, rows = places.get(y, (entered, 0))
+            if base < low:
+                rows >>= low - base
+                base = low
+            places[y] = (base, rows | 1 << (entered - base)) if rows else (entered, 1)
+            entered += 1
+        base, rows = places.get(x, (0, 0))
+        equal = (rows >> low - base if base < low else rows << base - low) & full
         straight = (((equal & up) + up) ^ up | equal | down) & full
         right_up = down | (full & ~(straight | up))
         right_down = straight & up
@@ -175,6 +195,10 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
     most = int(longer * (1 - threshold) + 1e-9)
     if abs(len(a) - len(b)) > most:
         return False
+    a, b = trimmed(a, b)
+    longer = max(len(a), len(b))
+    if longer <= most:
+        return True
     names, both = np.unique(np.concatenate([a, b]), return_inverse=True)
     count = np.minimum(np.bincount(both[: len(a)], minlength=len(names)), np.bincount(both[len(a) :], minlength=len(names)))
     if longer - int(count.sum()) > most:
@@ -202,15 +226,21 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verifier(threshold: float):
+    """Rows (first, salt, node, seq) sorted by these: the one without a node is the text that those after it are compared with."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, own = None, np.zeros(0, np.uint32)
         for batch in batches:
-            for piece in text_pieces(batch, 2, 8 << 20):
-                cols = [c.to_pylist() for c in piece.columns]
-                keep = [
-                    similar(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32), threshold)
-                    for a, b in zip(cols[2], cols[3], strict=True)
-                ]
-                yield piece.select(["first", "node"]).filter(pa.array(keep))
+            for piece in text_pieces(batch, 3, 8 << 20):
+                firsts, nodes = [], []
+                for first, salt, node, seq in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+                    other = np.frombuffer(seq, np.uint32)
+                    if node is None:
+                        lead, own = (first, salt), other
+                    elif lead == (first, salt) and similar(own, other, threshold):
+                        firsts.append(first)
+                        nodes.append(node)
+                yield pa.RecordBatch.from_arrays([pa.array(firsts, pa.int64()), pa.array(nodes, pa.int64())], ["first", "node"])
 
     return run
 
@@ -218,19 +248,28 @@ def _verifier(threshold: float):
 def sequences(nodes: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(node, seq): the word hashes of these nodes."""
     importable(docs.sparkSession)
-    wanted = kept(nodes.join(reps, "node"))
+    wanted = written(nodes.join(reps, "node"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     seqs = texts.join(small_side(wanted, MOST_TEXTS), F.col("_id").eqNullSafe(F.col("rep"))).select("node", "_text")
-    return kept(seqs.mapInArrow(_sequences, "node long, seq binary").where("seq is not null").dropDuplicates(["node"]))
+    return written(seqs.mapInArrow(_sequences, "node long, seq binary").where("seq is not null").dropDuplicates(["node"]))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """The pairs (first, node) that are similar. Only the texts of these nodes are cut into words and moved."""
+    """The pairs (first, node) that are similar. Only the texts of these nodes are cut into words and moved: one text for each
+    pair, and one for each PARTNERS pairs of the same first, which are compared in one task."""
     nodes = pairs.select(F.explode(F.array("first", "node")).alias("node")).distinct()
     seqs = sequences(nodes, docs, reps, id_col, text_col)
-    a = seqs.select(F.col("node").alias("first"), F.col("seq").alias("a"))
-    both = pairs.join(seqs, "node").join(a, "first").select("first", "node", "seq", "a")
-    return both.mapInArrow(_verifier(threshold), "first long, node long")
+    firsts = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    firsts = written(firsts)
+    others = pairs.join(firsts, "first").select("first", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("salt"), "node")
+    others = others.join(seqs, "node").select("first", "salt", "node", "seq")
+    own = firsts.join(seqs.withColumnRenamed("node", "first"), "first").select(
+        "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("salt"), F.lit(None).cast("long").alias("node"), "seq"
+    )
+    rows = own.union(others).repartition("first", "salt").sortWithinPartitions("first", "salt", "node")
+    found = written(rows.mapInArrow(_verifier(threshold), "first long, node long"))
+    spent(seqs)
+    return found
 
 
 def prefix_size(n: int, size: int, threshold: float) -> int:
@@ -277,14 +316,29 @@ def _prefixer(counts, size: int, threshold: float):
 
 
 def prefixes(seqs: DataFrame, threshold: float) -> DataFrame:
-    """(node, key): the rarest labelled word pairs of each text (words at low thresholds), as many as similar texts need to
-    have one in common. What is common to many texts, as a template, comes last and is left out as far as that allows."""
-    size = 2 if threshold >= 0.75 else 1
-    told = seqs.mapInArrow(_slot_counter(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(SLOTS, np.int64)
-    counts[told["slot"].to_numpy()] = told["n"].to_numpy()
-    counts = seqs.sparkSession.sparkContext.broadcast(counts)
-    return kept(seqs.mapInArrow(_prefixer(counts, size, threshold), "node long, key long"))
+    """(node, key): the rarest labelled tuples of words of each text, as many as similar texts need to have one in common.
+    What is common to many texts, as a template, comes last and is left out as far as that allows.
+
+    Single words and pairs of words both serve; those are taken that make fewer pairs of texts. Pairs of words are rarer, but
+    twice as many of them may change with an edit, so that a template's may be needed where its words are not.
+    """
+    best = None
+    for size in (1, 2) if threshold >= 0.75 else (1,):
+        told = seqs.mapInArrow(_slot_counter(size), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(SLOTS, np.int64)
+        counts[told["slot"].to_numpy()] = told["n"].to_numpy()
+        counts = seqs.sparkSession.sparkContext.broadcast(counts)
+        cut = written(seqs.mapInArrow(_prefixer(counts, size, threshold), "node long, key long"))
+        sizes = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        cost = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0
+        if best is None:
+            best = cost, cut
+        elif cost < best[0]:
+            spent(best[1])
+            best = cost, cut
+        else:
+            spent(cut)
+    return best[1]
 
 
 def _several(rows: DataFrame) -> DataFrame:
@@ -305,7 +359,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each turn hangs a node's larger neighbours, then its smaller ones, under its least neighbour, until nothing changes;
     the number of turns grows with the logarithm of the longest chain. Edges stay in tables; only two sums reach the driver.
     """
-    edges = kept(edges.select(F.greatest("first", "node").alias("u"), F.least("first", "node").alias("v")).distinct())
+    edges = written(edges.select(F.greatest("first", "node").alias("u"), F.least("first", "node").alias("v")).distinct())
     state = None
     while True:
         told = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -317,48 +371,71 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = kept(small.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        after = written(small.union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        spent(edges)
+        edges = after
 
 
 def links(
     sketched: DataFrame, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """(first, node): verified links between different texts, by their numbers."""
-    reps = sketched.groupBy("node").agg(F.min(id_col).alias("rep"))
-    rows = sketched.select("node", "n_words", F.explode("bands").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("key")
-    members = kept(rows.join(shared, "key").distinct())
+    texts = written(sketched.groupBy("node").agg(
+        F.min(id_col).alias("rep"), F.any_value("n_words").alias("n_words"), F.any_value("bands").alias("bands")
+    ))
+    reps = texts.select("node", "rep")
+    rows = texts.select("node", "n_words", F.explode("bands").alias("key"))
+    entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"))
+    leaders = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(entry).alias("f")).where("n > 1")
+    members = written(rows.join(leaders.select("key", "n", "f.*"), "key"))
 
     fits = F.least("n_words", "n_first") >= F.greatest("n_words", "n_first") * threshold - 1e-9
 
     def told(pairs: DataFrame) -> DataFrame:
-        return kept(verified(pairs, docs, reps, id_col, text_col, threshold))
+        return verified(pairs, docs, reps, id_col, text_col, threshold)
 
-    entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"))
-    firsts = members.groupBy("key").agg(F.min(entry).alias("f")).select("key", "f.*")
-    led = members.join(firsts, "key").where((F.col("node") != F.col("first")) & fits)
-    tried = kept(led.select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node")).distinct())
-    found = told(tried)
+    def ordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node")).distinct()
 
     def new(pairs: DataFrame, old: DataFrame) -> DataFrame:
-        pairs = pairs.where(fits).select(F.least("first", "node").alias("first"), F.greatest("first", "node").alias("node"))
-        return kept(pairs.distinct().join(old, ["first", "node"], "left_anti"))
+        return written(ordered(pairs.where(fits)).join(old, ["first", "node"], "left_anti"))
 
-    def placed(rows: DataFrame, found: DataFrame) -> DataFrame:
-        return rows.join(components(found), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def placed(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # Each text meets the first one of its largest bucket: one pair a text, and most of a large class is together.
+    led = members.where((F.col("node") != F.col("first")) & fits)
+    largest = led.groupBy("node").agg(F.max(F.struct("n", "first")).alias("b")).select(F.col("b.first").alias("first"), "node")
+    tried = written(ordered(largest))
+    found = told(tried)
+
+    # Then the first ones of its other buckets, where these are of another class still.
+    roots = components(found)
+    mixed_up = _several(placed(members.select("key", "node", "n_words"), roots))
+    mixed_up = written(mixed_up)
+    entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"), F.col("root").alias("of"))
+    firsts = mixed_up.groupBy("key").agg(F.min(entry).alias("f")).select("key", "f.*")
+    pairs = new(mixed_up.join(firsts, "key").where("root <> of"), tried)
+    if not pairs.isEmpty():
+        tried, found = tried.union(pairs), found.union(told(pairs))
+        roots = components(found)
 
     # Buckets that still hold several classes.
-    mixed_up = kept(_several(placed(members, found)))
+    mixed_up = written(_several(placed(mixed_up.select("key", "node", "n_words"), roots)))
     pairs = _across(mixed_up.where(F.col("n") <= MEMBERS))
-    wide = kept(mixed_up.where(F.col("n") > MEMBERS).select("node", "n_words").distinct())
+    wide = written(mixed_up.where(F.col("n") > MEMBERS).select("node", "n_words").distinct())
     if wide.isEmpty():
         return found.union(told(new(pairs, tried)))
     cut = wide.join(prefixes(sequences(wide.select("node"), docs, reps, id_col, text_col), threshold), "node")
+    entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"))
     firsts = cut.groupBy("key").agg(F.min(entry).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "f.*")
-    met = cut.join(firsts, "key").where(F.col("node") != F.col("first")).select("first", "n_first", "node", "n_words")
-    pairs = new(pairs.union(met), tried)
+    met = cut.join(firsts, "key").where(F.col("node") != F.col("first"))
+    # Of texts that are of one class already, none meet again.
+    one = roots.select(F.col("node").alias("first"), F.col("root").alias("of"))
+    met = placed(met, roots).join(one, "first", "left").where(F.col("root") != F.coalesce("of", "first"))
+    pairs = new(pairs.union(met.select("first", "n_first", "node", "n_words")), tried)
     tried, found = tried.union(pairs), found.union(told(pairs))
-    return found.union(told(new(_across(_several(placed(cut, found))), tried)))
+    return found.union(told(new(_across(_several(placed(cut, components(found)))), tried)))
 
 
 def _rooted(df: DataFrame, id_col: str, text_col: str, threshold: float, **more) -> DataFrame:
