@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import importable, kept, small_side, text_pieces
+from leafmill.llm.common import importable, kept, small_side, spent, text_pieces, written
 
 LENGTH = 200
 GRAM = 100
@@ -408,7 +408,8 @@ def _spans_of_texts(texts: DataFrame) -> DataFrame:
     )
     here_and_there = (F.min("key") != F.max("key")) | F.max("twice")
     grams = sampled.groupBy("gram").agg(here_and_there.alias("_again")).where("_again").select("gram")
-    near = kept(sampled.drop("twice").join(small_side(kept(grams), MOST_GRAMS), "gram", "left_semi"))
+    near = sampled.select("gram", "region", "key", F.col("size").cast("int").alias("size"), F.col("at").cast("int").alias("at"))
+    near = written(near.join(small_side(kept(grams), MOST_GRAMS), "gram", "left_semi"))
 
     settled = near.groupBy("gram", "region").agg((F.min("key") != F.max("key")).alias("_settled")).where("_settled")
     flagged = near.join(settled, ["gram", "region"], "left")
@@ -418,13 +419,14 @@ def _spans_of_texts(texts: DataFrame) -> DataFrame:
         F.collect_set(F.when(F.col("_open"), F.col("at"))).alias("opened"),
     )
     first = texts.groupBy("key", "size").agg(F.min("id").alias("first"))
-    lists = kept(lists.join(first, ["key", "size"]))
+    lists = written(lists.withColumn("size", F.col("size").cast("long")).join(first, ["key", "size"]))
+    spent(near)
     told = lists.agg(F.count(F.lit(1)), F.sum(8 * (F.size("settled") + F.size("opened"))), F.sum(F.size("opened"))).first()
     small = told[0] <= MOST_TEXTS and (told[1] or 0) <= MOST_BYTES
     ranges = max(1, -(-(told[2] or 0) * REACH // RANGE))
 
     mine = texts.join(F.broadcast(lists) if small else lists, ["key", "size"]).where("id <=> first")
-    states = kept(
+    states = written(
         mine.select("key", "size", "text", "settled", "opened").mapInArrow(_sharded(ranges), _SHARD_SCHEMA)
     )
     runs = states.where("part is not null").select("part", "shard", "digests", "base")
