@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from leafmill.llm.common import written  # noqa: E402
 from leafmill.llm.decontaminate import decontaminated  # noqa: E402
 from leafmill.llm.order_minhash import one_of_each  # noqa: E402
 from leafmill.llm.pieces import encode_decode  # noqa: E402
@@ -57,7 +58,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's rows are written to the shared folder, and the next stage reads them from there."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = written(stage(spark, docs, sf_dir))
     return docs
