@@ -109,10 +109,17 @@ def attribute(tag: Column, name: str) -> Column:
     return F.regexp_replace(value, r"""(?s)^["'](.*)["']$""", "$1")
 
 
-def _urls_of(cleaned: Column, tag: str, attr: str, base: Column) -> Column:
+def base_of(cleaned: Column, url: Column) -> Column:
+    """What relative addresses of a page stand for: the target of its first `base` element that has one, else its own URL."""
+    given = F.filter(F.transform(tags(cleaned, "base"), lambda t: strip_space(decode_entities(attribute(t, "href")))), lambda h: h.isNotNull())
+    own = let(F.get(given, F.lit(0)), lambda h: F.when(h.isNull() | (h == ""), url).otherwise(resolve_url(h, url)))
+    return F.when(cleaned.rlike(r"(?i)<base[\s/]"), own).otherwise(url)
+
+
+def _urls_of(cleaned: Column, tag: str, attr: str, url: Column) -> Column:
     values = F.transform(tags(cleaned, tag), lambda t: strip_space(decode_entities(attribute(t, attr))))
     present = F.filter(values, lambda v: v.isNotNull() & (v != ""))
-    absolute = F.transform(present, lambda v: resolve_url(v, base))
+    absolute = let(base_of(cleaned, url), lambda base: F.transform(present, lambda v: resolve_url(v, base)))
     return F.array_distinct(F.filter(absolute, lambda u: u.rlike(r"(?i)^https?://")))
 
 

@@ -127,20 +127,37 @@ def _hit_columns(v: Column) -> list[Column]:
     ]
 
 
-def hits_from_envelopes(df: DataFrame, envelope: str = "body") -> DataFrame:
-    """Search responses to hits, one row each, in order (`idx`); entries that are not objects are skipped."""
+def _objects(entries: Column) -> Column:
+    """The entries that are objects, each with its place in the list."""
+    placed = F.transform(entries, lambda v, i: F.struct(i.alias("idx"), v.alias("value")))
+    return F.filter(placed, lambda e: object_of(e["value"]).isNotNull())
+
+
+def _exploded(df: DataFrame, keep: list[str], entries: Column, value: str, keep_empty: bool) -> DataFrame:
+    explode = F.explode_outer if keep_empty else F.explode
+    rows = df.select(*keep, explode(_objects(entries)).alias("_entry"))
+    return rows.select(*keep, F.col("_entry.idx").alias("idx"), F.col("_entry.value").alias(value))
+
+
+def hits_from_envelopes(df: DataFrame, envelope: str = "body", keep_empty: bool = False) -> DataFrame:
+    """Search responses to hits, one row each, in order (`idx`); entries that are not objects are skipped.
+
+    With `keep_empty`, a response without hits keeps one row, whose `idx` and hit columns are null."""
     flat = search_from_envelopes(df, envelope)
     keep = [c for c in flat.columns if c != "web"]
-    rows = flat.select(*keep, F.posexplode("web").alias("idx", "_hit"))
-    return rows.where(object_of(F.col("_hit")).isNotNull()).select(*keep, "idx", *_hit_columns(F.col("_hit")))
+    return _exploded(flat, keep, F.col("web"), "_hit", keep_empty).select(*keep, "idx", *_hit_columns(F.col("_hit")))
+
 
+def batch_documents(df: DataFrame, envelope: str = "body", keep_empty: bool = False) -> DataFrame:
+    """Batch responses to documents in input order (`idx`); entries that are not objects are skipped.
 
-def batch_documents(df: DataFrame, envelope: str = "body") -> DataFrame:
-    """Batch responses to documents in input order (`idx`); entries that are not objects are skipped."""
+    With `keep_empty`, a batch without documents keeps one row, whose `idx` and document columns are null."""
     results = F.try_variant_get(F.col(envelope), "$.results", "array<variant>")
     keep = [c for c in df.columns if c != envelope]
-    rows = df.select(*keep, F.posexplode(results).alias("idx", "_item"))
-    return documents_from_envelopes(rows.where(object_of(F.col("_item")).isNotNull()), "_item")
+    docs = documents_from_envelopes(_exploded(df, keep, results, "_item", keep_empty), "_item")
+    if not keep_empty:
+        return docs
+    return docs.select(*keep, "idx", *(F.when(F.col("idx").isNotNull(), F.col(c)).alias(c) for c in docs.columns if c not in (*keep, "idx")))
 
 
 def batch_counts(df: DataFrame, envelope: str = "body") -> DataFrame:

@@ -42,14 +42,16 @@ def read_scrape_envelopes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_batch_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of all batches; `batch` is the batch's own id, else a hash of its text."""
+    """Documents of all batches; `batch` is the batch's own id, else a hash of its text. A batch without documents, or a line
+    that is no batch, keeps one row without `idx`."""
     lines = _read_lines(spark, path)
     batch = F.coalesce(F.try_variant_get("body", "$.id", "string"), F.sha2("value", 256))
-    return batch_documents(lines.select(batch.alias("batch"), "body"))
+    return batch_documents(lines.select(batch.alias("batch"), "body"), keep_empty=True)
 
 
 def read_search_envelopes(spark: SparkSession, path: str) -> DataFrame:
-    return hits_from_envelopes(_read_lines(spark, path).select("body"))
+    """Hits of all responses; a response without hits keeps one row without `idx`."""
+    return hits_from_envelopes(_read_lines(spark, path).select("body"), keep_empty=True)
 
 
 def logs_from_bodies(df: DataFrame, body: str = "body") -> DataFrame:

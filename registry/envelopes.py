@@ -137,6 +137,34 @@ def s03(spark, d):
     return docs.select("batch_id", "idx", F.md5("raw_html").alias("raw_md5"), "extra")
 
 
+def _sometimes_empty(spark, d, items):
+    """A response for each page: without the list, with an empty one, with no object in it, or with two entries."""
+    some = F.concat(F.lit('[7,{"url":"https://h/'), F.col("page_id").cast("string"), F.lit('","markdown":"m"}]'))
+    listed = F.when(F.col("page_id") % 4 == 1, F.lit("[]")).when(F.col("page_id") % 4 == 2, F.lit('["x",null]')).otherwise(some)
+    text = F.when(F.col("page_id") % 4 == 0, F.lit("{}")).otherwise(F.concat(F.lit(items[0]), listed, F.lit(items[1])))
+    return _parsed(table(spark, d, "pages").select("page_id"), text, "page_id")
+
+
+@add(
+    "s03_empty_batches",
+    """select page_id, case when page_id % 4 = 3 then 1 end::int as idx, case when page_id % 4 = 3 then 'm' end as markdown,
+      case when page_id % 4 = 3 then true end as success from pages""",
+)
+def s03_empty(spark, d):
+    bodies = _sometimes_empty(spark, d, ('{"results":', "}"))
+    return E.batch_documents(bodies, keep_empty=True).select("page_id", "idx", "markdown", "success")
+
+
+@add(
+    "s04_empty_responses",
+    """select page_id, case when page_id % 4 = 3 then 1 end::int as idx,
+      case when page_id % 4 = 3 then 'https://h/' || page_id end as url from pages""",
+)
+def s04_empty(spark, d):
+    bodies = _sometimes_empty(spark, d, ('{"data":{"web":', "}}"))
+    return E.hits_from_envelopes(bodies, keep_empty=True).select("page_id", "idx", "url")
+
+
 @add(
     "e05_batch_documents",
     """select page_id // 30 as batch_id, count(*) as documents, count(html) as with_html from pages

@@ -55,6 +55,43 @@ def _urls_sql(tag, attr, value):
     select page_id, cast(row_number() over (partition by page_id order by ord) - 1 as int) as idx, {value} from first_seen"""
 
 
+#: Pages with a base element, relative links and images at their end.
+_BASED = """select page_id, url, concat(case when page_id % 3 = 0 then '' when page_id % 3 = 1 then '<base href="/dir/x">'
+    else '<BASE target=_top><base href=''https://cdn.example.org/a/b/?q''>' end, html,
+  '<a href="rel/x">r</a><img src="img/a.png"><img src=''/b.png'' alt=x><IMG alt="a" SRC=https://i.example.org/c.png>',
+  case when page_id % 2 = 0 then '<img src="img/a.png">' else '' end) as html from {pages}"""
+_BASED_SQL = f"""with based as ({_BASED.format(pages='pages')}), placed as (
+  select *, regexp_extract(url, '^(https?://[^/?#]+)', 1) as origin,
+    case page_id % 3 when 1 then regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/dir/' when 2 then 'https://cdn.example.org/a/b/'
+      else coalesce(nullif(regexp_extract(url, '^(https?://[^/?#]+/([^?#]*/)?)', 1), ''), regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/') end as folder,
+    case page_id % 3 when 2 then 'https://cdn.example.org' else regexp_extract(url, '^(https?://[^/?#]+)', 1) end as base_origin
+  from based)"""
+
+
+def _based(spark, d):
+    return spark.sql(_BASED, pages=_pages(spark, d))
+
+
+@add(
+    "x04_base_links",
+    rf"""{_BASED_SQL}, raw as (select *, unnest(regexp_extract_all({S.clean()}, '<a\b[^>]*\bhref="([^"]*)"', 1)) as ref from placed)
+    select distinct page_id, case when regexp_matches(ref, '^https?://') then ref
+      when ref like '//%' then regexp_extract(folder, '^(https?:)', 1) || ref
+      when ref like '/%' then base_origin || ref else folder || ref end as link from raw""",
+)
+def x04_base(spark, d):
+    links = X.extract(_based(spark, d), ("links",), ("page_id",))
+    return X.long_form(links, "links", "link").drop("idx")
+
+
+@add(
+    "x05_images_shown",
+    f"""{_BASED_SQL} select page_id, [folder || 'img/a.png', base_origin || '/b.png', 'https://i.example.org/c.png'] as images from placed""",
+)
+def x05_shown(spark, d):
+    return X.extract(_based(spark, d), ("images",), ("page_id",))
+
+
 @add("x04_links", _urls_sql("a", "href", "link"))
 def x04(spark, d):
     return X.long_form(X.extract(_pages(spark, d), ("links",), ("page_id",)), "links", "link")

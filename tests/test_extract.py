@@ -22,6 +22,8 @@ def page(spark):
     return spark.createDataFrame([(1, URL, PAGE)], "page_id long, url string, html string")
 
 
+
+
 def test_all_formats(page, rows):
     (doc,) = rows(X.extract(page, X.TEXT_FORMATS, metadata=True))
     assert doc["raw_html"] == PAGE and "<p>one" in doc["html"]
@@ -166,3 +168,16 @@ def test_tags_without_the_attribute_are_read_fast(spark):
     long = "<a " + "x" * 20_000 + ">" + "<a " + "b=c " * 5_000 + ">"
     df = spark.createDataFrame([(long,)], "t string").select(H.attribute(F.col("t"), "href").alias("v"))
     assert df.first()["v"] is None
+
+
+def test_base_element(spark):
+    cases = [
+        ('<base href="/d/"><a href="x">', ["https://s.test/d/x"]),
+        ('<BASE><base target=a><base href="https://o.test/p/q"><a href="x"><a href="/y"><a href="#z">', ["https://o.test/p/x", "https://o.test/y", "https://o.test/p/q#z"]),
+        ('<base href=""><a href="x">', ["https://s.test/a/x"]),
+        ('<a href="x"><basefont href="/no/">', ["https://s.test/a/x"]),
+        (None, None),
+    ]
+    df = spark.createDataFrame([(i, "https://s.test/a/b", h) for i, (h, _) in enumerate(cases)], "page_id int, url string, html string")
+    got = {r.page_id: r.links for r in X.extract(df, ("links",), ("page_id",)).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
