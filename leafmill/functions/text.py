@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,44 +14,10 @@ SPACES = (
 )
 _SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
-# Named entities decoded in page text. `&amp;` is decoded after them, so nothing is decoded twice.
-ENTITIES = (
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&quot;", '"'),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&apos;", "'"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&hellip;", "…"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-    ("&euro;", "€"),
-    ("&reg;", "®"),
-    ("&trade;", "™"),
-    ("&times;", "×"),
-    ("&agrave;", "à"),
-    ("&aacute;", "á"),
-    ("&auml;", "ä"),
-    ("&ccedil;", "ç"),
-    ("&egrave;", "è"),
-    ("&eacute;", "é"),
-    ("&ecirc;", "ê"),
-    ("&iacute;", "í"),
-    ("&ntilde;", "ñ"),
-    ("&oacute;", "ó"),
-    ("&ouml;", "ö"),
-    ("&szlig;", "ß"),
-    ("&uacute;", "ú"),
-    ("&uuml;", "ü"),
-)
+#: Named references and what they show: those of HTML 4, and `&apos;`. A hard blank counts as a blank.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+#: What the numbers 128 to 159 stand for in pages: the Windows characters where there is one, else the number's own.
+_WINDOWS = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
 
 
 def strip_space(c: Column) -> Column:
@@ -63,32 +31,41 @@ def collapse_space(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Named entities and numeric references. Texts without `&` are passed on as they are."""
+    """Named and numeric references, in one pass, so that nothing is decoded twice; others stay as they are. Texts without
+    `&` are passed on."""
 
     def decoded(t: Column) -> Column:
-        for entity, char in ENTITIES:
-            t = F.replace(t, F.lit(entity), F.lit(char))
-        t = F.transform(F.array(t), lambda x: F.when(x.contains("&#"), _numeric(x)).otherwise(x))[0]
-        return F.replace(t, F.lit("&amp;"), F.lit("&"))
+        parts = F.split(t, "&", -1)
+        return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), _reference), ""))
 
     return F.transform(F.array(c), lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))[0]
 
 
-def _numeric(c: Column) -> Column:
-    """`&#8217;` and `&#x2019;` as characters; a number that is no character stays as it is."""
+def _reference(part: Column) -> Column:
+    """What stands behind an `&`, up to the next one, with the reference it begins with replaced."""
+    known = F.str_to_map(F.lit(";".join(f"{k}:{v}" for k, v in ENTITIES.items())), F.lit(";"), F.lit(":"))
+    name = F.regexp_extract(part, "^([A-Za-z][A-Za-z0-9]{1,9});", 1)
+    named = F.transform(
+        F.array(name), lambda n: F.concat(F.try_element_at(known, n), F.substring(part, F.length(n) + 2, F.length(part)))
+    )[0]
+    return F.when(part.startswith("#"), _numeric(part)).otherwise(F.coalesce(named, F.concat(F.lit("&"), part)))
+
+
+def _numeric(part: Column) -> Column:
+    """`#8217;` and `#x2019;` as characters; a number that is no character stays as it is."""
+    found = F.regexp_extract(part, "^#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});", 0)
+    is_hex = F.lower(F.substring(found, 2, 1)) == "x"
+    digits = F.regexp_replace(found, "[#xX;]", "")
+    code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
 
-    def tail(part: Column) -> Column:
-        found = F.regexp_extract(part, "^(?:[xX]([0-9a-fA-F]{1,6})|[0-9]{1,7});", 0)
-        is_hex = F.lower(F.substring(found, 1, 1)) == "x"
-        digits = F.regexp_replace(found, "[xX;]", "")
-        code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).try_cast("int")
-        good = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    def shown(n: Column) -> Column:
+        good = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
+        own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        char = F.when(n.between(128, 159), F.substring(F.lit(_WINDOWS), n - 127, F.lit(1))).otherwise(own)
         rest = F.substring(part, F.length(found) + 1, F.length(part))
-        return F.when(good, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
+        return F.when(good, F.concat(char, rest)).otherwise(F.concat(F.lit("&"), part))
 
-    parts = F.split(c, "&#", -1)
-    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, F.lit(2), F.size(parts)), tail), ""))
+    return F.transform(F.array(code), shown)[0]
 
 
 def preview(c: Column, n: int) -> Column:

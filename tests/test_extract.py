@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leafmill.functions import html as H
+from leafmill.functions.text import decode_entities
 from leafmill.operators import documents as D
 from leafmill.operators import extract as X
 from leafmill.operators import nodes as N
@@ -181,3 +182,14 @@ def test_base_element(spark):
     df = spark.createDataFrame([(i, "https://s.test/a/b", h) for i, (h, _) in enumerate(cases)], "page_id int, url string, html string")
     got = {r.page_id: r.links for r in X.extract(df, ("links",), ("page_id",)).collect()}
     assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_references(spark):
+    cases = {
+        "&oslash;&sup2;&frac12;&Eacute;&bull;": "ø²½É•", "&#150;&#x80;&#129;": "–€\x81", "&amp;lt; &amp;#39;": "&lt; &#39;", "&&lt;&": "&<&",
+        "a&nbsp;b &nosuch; &lt &#0; &#xD800; &#39;&apos;": "a b &nosuch; &lt &#0; &#xD800; \'\'", "&#x1F600;&#128512;x": "\U0001f600\U0001f600x", "": "",
+        "&lt;b&gt;&;&#;": "<b>&;&#;",
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string")
+    got = {r.t: r.x for r in df.select("t", decode_entities(F.col("t")).alias("x")).collect()}
+    assert got == {**cases, None: None}
