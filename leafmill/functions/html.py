@@ -117,10 +117,13 @@ def base_of(cleaned: Column, url: Column) -> Column:
 
 
 def _urls_of(cleaned: Column, tag: str, attr: str, url: Column) -> Column:
-    values = F.transform(tags(cleaned, tag), lambda t: strip_space(decode_entities(attribute(t, attr))))
-    present = F.filter(values, lambda v: v.isNotNull() & (v != ""))
-    absolute = let(base_of(cleaned, url), lambda base: F.transform(present, lambda v: resolve_url(v, base)))
-    return F.array_distinct(F.filter(absolute, lambda u: u.rlike(r"(?i)^https?://")))
+    def found(page: Column) -> Column:
+        values = F.transform(tags(page, tag), lambda t: strip_space(decode_entities(attribute(t, attr))))
+        present = F.filter(values, lambda v: v.isNotNull() & (v != ""))
+        absolute = let(base_of(page, url), lambda base: F.transform(present, lambda v: resolve_url(v, base)))
+        return F.array_distinct(F.filter(absolute, lambda u: u.rlike(r"(?i)^https?://")))
+
+    return let(cleaned, found)
 
 
 def links(cleaned: Column, base: Column) -> Column:
