@@ -5,10 +5,12 @@ quantile is off by less than 1.6 % of its value. Counts add up, so sketches merg
 language's sources over the language. Equal rows give equal sketches in any order.
 
 Measures (integers): characters per 100 words, symbols per 10,000 words, repeated lines per 10,000 lines, words in
-repeated windows per 10,000 words. A document is rejected if a measure lies beyond the fence of its group: the upper
-quartile plus `reach` times the distance of the quartiles, or below the lower quartile less the same. A fence never
-comes closer than `LEAST` (`MOST_LOW` for the lower one): small spreads do not make ordinary texts outliers.
-A group with fewer than `enough` documents uses its language, and that the whole corpus.
+repeated windows per 10,000 words. Sketches count the documents that pass the base rule. Of these, a document is rejected
+if a measure lies beyond the fence of its group: the upper quartile plus `reach` times the distance of the quartiles, or for
+the word length below the lower quartile less the same. Where the quartiles are equal, as in measures that are zero for
+most texts, they tell nothing of the spread; the fence is then the quantile of `TAIL` per mille, so that at most a group's
+last hundredth lies beyond it. No cutoff is fixed in units of a measure.
+A group with fewer than `enough` documents uses its language, and that the whole corpus; a corpus of fewer has no fences.
 """
 
 from __future__ import annotations
@@ -20,10 +22,11 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import kept, small_side, with_columns
 
 MEASURES = ("word_len", "symbols", "dup_lines", "repeats")
-#: The least upper fence of each measure, and the highest lower fence (only the word length has one).
-LEAST = {"word_len": 1200, "symbols": 1000, "dup_lines": 3000, "repeats": 1500}
-MOST_LOW = {"word_len": 250}
+#: Measures with a lower fence too.
+BOTH_SIDES = ("word_len",)
 REACH = 3
+#: The quantile, per mille, that is the fence where the quartiles are equal.
+TAIL = 990
 ENOUGH = 200
 MOST_GROUPS = 100_000
 
@@ -117,24 +120,28 @@ def fences(sketch: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
         "upto", F.sum("docs").over(w.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0))
     )
     top = bucket_top(F.col("bucket"))
+
+    def quantile(mille: int) -> Column:
+        return F.min(F.when(F.col("upto") * 1000 >= F.col("total") * mille, top))
+
     quartiles = run.groupBy(*keys, "measure").agg(
-        F.max("total").alias("docs"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total"), top)).alias("low"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, top)).alias("high"),
+        F.max("total").alias("docs"), quantile(250).alias("low"), quantile(750).alias("high"),
+        quantile(TAIL).alias("tail"), quantile(1000 - TAIL).alias("head"),
     )
-    spread = (F.col("high") - F.col("low")) * reach
+    spread, flat = (F.col("high") - F.col("low")) * reach, F.col("high") == F.col("low")
     out = [F.max("docs").alias("docs")]
     for m in MEASURES:
-        here = F.when(F.col("measure") == m, F.col("high") + spread)
-        out.append(F.greatest(F.max(here), F.lit(LEAST[m])).alias(f"{m}_top"))
-        if m in MOST_LOW:
-            below = F.when(F.col("measure") == m, F.col("low") - spread)
-            out.append(F.least(F.max(below), F.lit(MOST_LOW[m])).alias(f"{m}_bottom"))
+        here = F.when(F.col("measure") == m, F.when(flat, F.col("tail")).otherwise(F.col("high") + spread))
+        out.append(F.max(here).alias(f"{m}_top"))
+        if m in BOTH_SIDES:
+            below = F.when(F.col("measure") == m, F.when(flat, F.col("head")).otherwise(F.col("low") - spread))
+            out.append(F.max(below).alias(f"{m}_bottom"))
     return quartiles.groupBy(*keys).agg(*out)
 
 
 def thresholds(counted: DataFrame, lang_col: str, source_col: str, reach: int, enough: int) -> DataFrame:
-    """Fences of every (lang, source): its own, or those of its language or of the corpus if documents are few."""
+    """Fences of every (lang, source): its own, or those of its language or of the corpus if documents are few; null if they
+    are few in the corpus too."""
     own = kept(sketches(counted, lang_col, source_col))
     # Sketches are counts: a group has at most a few thousand rows, whatever the corpus.
     group, lang, corpus = fences(own, ["lang", "source"], reach), merged(own, "lang"), merged(own)
@@ -143,7 +150,7 @@ def thresholds(counted: DataFrame, lang_col: str, source_col: str, reach: int, e
     names = [c for c in corpus.columns if c not in ("one", "docs")]
     pick = [
         F.when(F.col("g.docs") >= enough, F.col(f"g.{c}")).when(F.col("l.docs") >= enough, F.col(f"l.{c}"))
-        .otherwise(F.col(f"c.{c}")).alias(f"_{c}")
+        .when(F.col("c.docs") >= enough, F.col(f"c.{c}")).alias(f"_{c}")
         for c in names
     ]
     return (
@@ -160,20 +167,20 @@ def _judged(
     """`df` with the counts and both verdicts in columns that start with _q_."""
     counted = with_counts(df, text_col)
     # The first pass reads no column but these three, so a row's other columns do not travel to Python.
+    base = F.expr("_q_n_words < 10 or 100 * _q_n_repeat_words > 20 * _q_n_words")
     limits = thresholds(
-        with_counts(df.select(*dict.fromkeys((text_col, lang_col, source_col))), text_col),
+        with_counts(df.select(*dict.fromkeys((text_col, lang_col, source_col))), text_col).where(~base),
         lang_col, source_col, reach, enough,
     )
     joined = counted.join(
         small_side(kept(limits), MOST_GROUPS),
         F.col(lang_col).eqNullSafe(F.col("_lang")) & F.col(source_col).eqNullSafe(F.col("_source")), "left",
     )
-    base = F.expr("_q_n_words < 10 or 100 * _q_n_repeat_words > 20 * _q_n_words")
     inside = F.lit(True)
     for m, value in _measures().items():
-        inside = inside & (value <= F.col(f"_{m}_top"))
-        if m in MOST_LOW:
-            inside = inside & (value >= F.col(f"_{m}_bottom"))
+        inside = inside & F.coalesce(value <= F.col(f"_{m}_top"), F.lit(True))
+        if m in BOTH_SIDES:
+            inside = inside & F.coalesce(value >= F.col(f"_{m}_bottom"), F.lit(True))
     return joined.select(*counted.columns, base.alias("_q_base_failed"), (~base & inside).alias("_q_kept"))
 
 

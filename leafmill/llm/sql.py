@@ -21,10 +21,7 @@ hits as (
 select p.page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from p left join hits using (page_id)
 """
 
-#: One line for each measure: the least upper fence, the highest lower fence.
-_FENCES = "('word_len', 1200, 250), ('symbols', 1000, null), ('dup_lines', 3000, null), ('repeats', 1500, null)"
-
-OP6 = f"""
+OP6 = """
 with d as (select doc_id, lang, source, coalesce(text, '') as text from documents),
 w as (
   select doc_id, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) as word,
@@ -54,7 +51,8 @@ m as (
     unnest([100 * word_chars // greatest(n_words, 1), 10000 * n_symbols // greatest(n_words, 1),
             10000 * n_dup_lines // greatest(n_lines, 1), 10000 * n_repeat_words // greatest(n_words, 1)]) as v
   from c),
-b as (select *, greatest(length(bin(v)) - 7, 0) as s from m),
+b as (select m.*, greatest(length(bin(v)) - 7, 0) as s from m join c using (doc_id)
+  where not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)),
 sk as (select lang, source, measure, s * 64 + (v >> s) as bucket, any_value((((v >> s) + 1) << s) - 1) as top, count(*) as docs
   from b group by lang, source, measure, s * 64 + (v >> s)),
 levels as (
@@ -66,19 +64,20 @@ run as (
     sum(docs) over (partition by level, lang, source, measure order by bucket) as upto from levels),
 q as (
   select level, lang, source, measure, max(total) as docs, min(top) filter (upto * 4 >= total) as low,
-    min(top) filter (upto * 4 >= total * 3) as high from run group by level, lang, source, measure),
+    min(top) filter (upto * 4 >= total * 3) as high, min(top) filter (upto * 1000 >= total * 990) as tail,
+    min(top) filter (upto * 1000 >= total * 10) as head from run group by level, lang, source, measure),
 f as (
-  select level, lang, source, q.measure, docs, greatest(high + 3 * (high - low), least_top) as top,
-    least(low - 3 * (high - low), most_low) as bottom
-  from q join (values {_FENCES}) as x(measure, least_top, most_low) on x.measure = q.measure),
+  select level, lang, source, measure, docs, case when high = low then tail else high + 3 * (high - low) end as top,
+    case when high = low then head else low - 3 * (high - low) end as bottom from q),
 verdict as (
-  select m.doc_id, bool_and(m.v <= case when a.docs >= 200 then a.top when l.docs >= 200 then l.top else g.top end
-    and (m.measure <> 'word_len'
-      or m.v >= case when a.docs >= 200 then a.bottom when l.docs >= 200 then l.bottom else g.bottom end)) as inside
-  from m join f a on a.level = 1 and a.lang is not distinct from m.lang and a.source is not distinct from m.source
+  select m.doc_id, bool_and(coalesce(m.v <= case when a.docs >= 200 then a.top when l.docs >= 200 then l.top
+      when g.docs >= 200 then g.top end, true)
+    and (m.measure <> 'word_len' or coalesce(m.v >= case when a.docs >= 200 then a.bottom when l.docs >= 200 then l.bottom
+      when g.docs >= 200 then g.bottom end, true))) as inside
+  from m left join f a on a.level = 1 and a.lang is not distinct from m.lang and a.source is not distinct from m.source
       and a.measure = m.measure
-    join f l on l.level = 2 and l.lang is not distinct from m.lang and l.measure = m.measure
-    join f g on g.level = 3 and g.measure = m.measure
+    left join f l on l.level = 2 and l.lang is not distinct from m.lang and l.measure = m.measure
+    left join f g on g.level = 3 and g.measure = m.measure
   group by m.doc_id)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,

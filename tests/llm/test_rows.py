@@ -124,6 +124,23 @@ def test_quality_of_odd_rows(spark):
     assert quality.judged(df.limit(0)).count() == 0
 
 
+def test_quality_fences_follow_their_group(spark):
+    """Long words are usual in one source and outliers in the other; a repeated line is rare in one and usual in the other."""
+    def text(i, length, lines):
+        words = [chr(97 + (i + k) % 26) * (length + (i + k) % 3) + str(10_000 + i * 31 + k) for k in range(12)]
+        return "\n".join([" ".join(words)] + ["same"] * lines)
+
+    rows = [(i, text(i, 4, 2 if i in (0, 1) else 0), "en", "short") for i in range(300)]
+    rows += [(1000 + i, text(i, 14, i % 4), "en", "long") for i in range(300)]
+    rows += [(5000, text(7, 14, 0), "en", "short"), (5001, text(7, 4, 0), "en", "long"), (5002, text(7, 14, 3), "en", "long")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    limits = {r._source: r for r in quality.thresholds(quality.with_counts(df), "lang", "source", 3, 200).collect()}
+    assert limits["short"]._word_len_top < limits["long"]._word_len_bottom
+    assert limits["short"]._dup_lines_top == 0 < limits["long"]._dup_lines_top
+    out = {r.doc_id for r in quality.judged(df).where("not kept").collect()}
+    assert out == {0, 1, 5000, 5001}
+
+
 def test_repeated_windows_by_brute_force():
     for text in ("a b c d e a b c d e f", "x " * 9, "a b c d", "a b c d e f g a b c d e h a b c d e"):
         words = text.encode().split()
