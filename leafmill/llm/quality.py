@@ -97,6 +97,12 @@ def bucket_top(b: Column) -> Column:
     return F.call_function("shiftleft", (b - shift * 64 + 1).cast("long"), shift) - 1
 
 
+def bucket_bottom(b: Column) -> Column:
+    """The least value of a bucket."""
+    shift = F.greatest(F.floor(b / 64) - 1, F.lit(0)).cast("int")
+    return F.call_function("shiftleft", (b - shift * 64).cast("long"), shift)
+
+
 def sketches(counted: DataFrame, lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """(lang, source, measure, bucket, docs): counts that add up over tasks before the one small shuffle."""
     rows = counted.select(
@@ -119,14 +125,14 @@ def fences(sketch: DataFrame, keys: list[str], reach: int = REACH) -> DataFrame:
     run = sketch.withColumn("total", F.sum("docs").over(w)).withColumn(
         "upto", F.sum("docs").over(w.orderBy("bucket").rowsBetween(W.unboundedPreceding, 0))
     )
-    top = bucket_top(F.col("bucket"))
+    top, bottom = bucket_top(F.col("bucket")), bucket_bottom(F.col("bucket"))
 
-    def quantile(mille: int) -> Column:
-        return F.min(F.when(F.col("upto") * 1000 >= F.col("total") * mille, top))
+    def quantile(mille: int, value: Column = top) -> Column:
+        return F.min(F.when(F.col("upto") * 1000 >= F.col("total") * mille, value))
 
     quartiles = run.groupBy(*keys, "measure").agg(
         F.max("total").alias("docs"), quantile(250).alias("low"), quantile(750).alias("high"),
-        quantile(TAIL).alias("tail"), quantile(1000 - TAIL).alias("head"),
+        quantile(TAIL).alias("tail"), quantile(1000 - TAIL, bottom).alias("head"),
     )
     spread, flat = (F.col("high") - F.col("low")) * reach, F.col("high") == F.col("low")
     out = [F.max("docs").alias("docs")]

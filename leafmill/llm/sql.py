@@ -53,19 +53,20 @@ m as (
   from c),
 b as (select m.*, greatest(length(bin(v)) - 7, 0) as s from m join c using (doc_id)
   where not (n_words < 10 or 100 * n_repeat_words > 20 * n_words)),
-sk as (select lang, source, measure, s * 64 + (v >> s) as bucket, any_value((((v >> s) + 1) << s) - 1) as top, count(*) as docs
+sk as (select lang, source, measure, s * 64 + (v >> s) as bucket, any_value((((v >> s) + 1) << s) - 1) as top,
+    any_value((v >> s) << s) as bottom, count(*) as docs
   from b group by lang, source, measure, s * 64 + (v >> s)),
 levels as (
-  select 1 as level, lang, source, measure, bucket, top, docs from sk
-  union all select 2, lang, null, measure, bucket, any_value(top), sum(docs) from sk group by lang, measure, bucket
-  union all select 3, null, null, measure, bucket, any_value(top), sum(docs) from sk group by measure, bucket),
+  select 1 as level, lang, source, measure, bucket, top, bottom, docs from sk
+  union all select 2, lang, null, measure, bucket, any_value(top), any_value(bottom), sum(docs) from sk group by lang, measure, bucket
+  union all select 3, null, null, measure, bucket, any_value(top), any_value(bottom), sum(docs) from sk group by measure, bucket),
 run as (
   select *, sum(docs) over (partition by level, lang, source, measure) as total,
     sum(docs) over (partition by level, lang, source, measure order by bucket) as upto from levels),
 q as (
   select level, lang, source, measure, max(total) as docs, min(top) filter (upto * 4 >= total) as low,
     min(top) filter (upto * 4 >= total * 3) as high, min(top) filter (upto * 1000 >= total * 990) as tail,
-    min(top) filter (upto * 1000 >= total * 10) as head from run group by level, lang, source, measure),
+    min(bottom) filter (upto * 1000 >= total * 10) as head from run group by level, lang, source, measure),
 f as (
   select level, lang, source, measure, docs, case when high = low then tail else high + 3 * (high - low) end as top,
     case when high = low then head else low - 3 * (high - low) end as bottom from q),

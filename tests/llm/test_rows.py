@@ -151,9 +151,9 @@ def test_repeated_windows_by_brute_force():
 
 def test_buckets_are_ordered_and_close(spark):
     df = spark.range(0, 5000).select("id", quality.bucket(F.col("id")).alias("b"))
-    rows = df.select("id", "b", quality.bucket_top(F.col("b")).alias("top")).orderBy("id").collect()
+    rows = df.select("id", "b", quality.bucket_top(F.col("b")).alias("top"), quality.bucket_bottom(F.col("b")).alias("low")).orderBy("id").collect()
     assert all(x.b <= y.b for x, y in zip(rows, rows[1:], strict=False))
-    assert all(r.id <= r.top <= r.id * 1.016 + 1 for r in rows)
+    assert all(r.low <= r.id <= r.top <= r.id * 1.016 + 1 for r in rows)
 
 
 def brute_base(text):
