@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,8 @@ K1 = 1.2
 B = 0.75
 RESULTS_PER_PAGE = 10
 _NANO = 1_000_000_000
+#: Most query terms that are looked up in a saved index by a pushed filter; more are met by the join alone.
+MOST_PUSHED = 100
 
 
 def tokens(text: Column) -> Column:
@@ -27,11 +31,13 @@ def tokens(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """`postings (term, page_id, language, doc_len, tf)`, `terms (term, df)`, `docs (page_id, language, doc_len)`."""
+    """`postings (term, page_id, language, doc_len, tf)`, `terms (term, df)`, `docs (page_id, language, doc_len)` and
+    `totals (n, avg_len)`, one row."""
 
     postings: DataFrame
     terms: DataFrame
     docs: DataFrame
+    totals: DataFrame
 
 
 def _page_words(pages: DataFrame) -> DataFrame:
@@ -41,21 +47,43 @@ def _page_words(pages: DataFrame) -> DataFrame:
     ).withColumn("doc_len", F.size("_words").cast("bigint"))
 
 
-def saved_index(pages: DataFrame, path: str) -> Index:
-    """Build the index under `path`. Pages are cut into words once: the words are written first, and postings and
-    page lengths are taken from there."""
-    _page_words(pages).write.parquet(f"{path}/words")
-    words = pages.sparkSession.read.parquet(f"{path}/words")
-    postings = index_words(words).postings
-    postings.sortWithinPartitions("term").write.parquet(f"{path}/postings")
-    postings = pages.sparkSession.read.parquet(f"{path}/postings")
-    corpus_stats(postings).write.parquet(f"{path}/terms")
-    return read_index(pages.sparkSession, path)
+def saved_index(pages: DataFrame, path: str, buckets: int | None = None) -> Index:
+    """Build the index under `path`. Pages are cut into words once and shuffled once, by page.
+
+    Postings are bucketed by page, so that a search sums a page's terms where it reads them, and sorted by term in each
+    bucket, so that a search for few terms skips the rest by Parquet's statistics. `buckets` should grow with the pages;
+    it is the session's number of shuffle partitions where it is not given.
+    """
+    spark = pages.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _page_words(pages).repartition(buckets, "page_id").write.parquet(f"{path}/words")
+    words = spark.read.parquet(f"{path}/words")
+    postings = index_words(words.repartition(buckets, "page_id")).postings
+    writer = postings.write.bucketBy(buckets, "page_id").sortBy("term").option("path", f"{path}/postings")
+    writer.saveAsTable(_table_of(path))
+    corpus_stats(spark.table(_table_of(path))).write.parquet(f"{path}/terms")
+    _totals(words).withColumn("buckets", F.lit(buckets)).write.parquet(f"{path}/totals")
+    return read_index(spark, path)
+
+
+def _table_of(path: str) -> str:
+    """The name under which a session knows the postings of `path`."""
+    return "postings_" + hashlib.md5(path.encode()).hexdigest()
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    tables = {part: spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "words")}
-    return Index(tables["postings"], tables["terms"], tables["words"].drop("_words"))
+    """A saved index; its postings become a bucketed table of this session's catalog if they are not one yet."""
+    parts = {part: spark.read.parquet(f"{path}/{part}") for part in ("terms", "words", "totals")}
+    name = _table_of(path)
+    if not spark.catalog.tableExists(name):
+        page_id = parts["words"].schema["page_id"].dataType.simpleString()
+        fields = f"term string, page_id {page_id}, language string, doc_len bigint, tf bigint"
+        buckets = parts["totals"].first()["buckets"]
+        spark.sql(
+            f"create table {name} ({fields}) using parquet clustered by (page_id) sorted by (term) into {buckets} buckets "
+            f"location '{path}/postings'"
+        )
+    return Index(spark.table(name), parts["terms"], parts["words"].drop("_words"), parts["totals"].drop("buckets"))
 
 
 def build_index(pages: DataFrame) -> Index:
@@ -64,13 +92,34 @@ def build_index(pages: DataFrame) -> Index:
 
 
 def index_words(words: DataFrame) -> Index:
-    """Postings by one aggregation on (page, term); a page's words are combined before the shuffle."""
-    postings = (
-        words.select("page_id", "language", "doc_len", F.explode("_words").alias("term"))
-        .groupBy("term", "page_id", "language", "doc_len")
-        .agg(F.count(F.lit(1)).alias("tf"))
+    """Postings without a shuffle: a page's words stand in one row, so they are sorted there and equal ones counted as runs.
+
+    A `page_id` names one row.
+    """
+    def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+        """`body` of a value that is worked out once a row, however often the body names it."""
+        return F.transform(F.array(value), body)[0]
+
+    def starts(words: Column) -> Column:
+        at = F.transform(words, lambda w, i: F.when((i == 0) | (w != F.get(words, i - 1)), i))
+        return F.filter(at, lambda i: i.isNotNull())
+
+    def counted(words: Column, at: Column) -> Column:
+        return F.transform(at, lambda i, k: F.struct(
+            F.get(words, i).alias("term"), (F.coalesce(F.get(at, k + 1), F.size(words)) - i).cast("bigint").alias("tf")
+        ))
+
+    runs = words.withColumn(
+        "_runs", bound(F.sort_array("_words"), lambda w: bound(starts(w), lambda at: counted(w, at)))
     )
-    return Index(postings, corpus_stats(postings), words.select("page_id", "language", "doc_len"))
+    postings = runs.select("page_id", "language", "doc_len", F.inline("_runs")).select(
+        "term", "page_id", "language", "doc_len", "tf"
+    )
+    return Index(postings, corpus_stats(postings), words.select("page_id", "language", "doc_len"), _totals(words))
+
+
+def _totals(words: DataFrame) -> DataFrame:
+    return words.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg_len"))
 
 
 def corpus_stats(postings: DataFrame) -> DataFrame:
@@ -87,16 +136,21 @@ def score(queries: DataFrame, index: Index, language: str | None = None) -> Data
     """BM25 of every page that has a query term: `(query_id, page_id, score)`.
 
     Query terms are the bounded side: they are counted, then broadcast, and beyond the bound a frequent term is
-    salted by page. Scores are summed as whole nano-units, so the result does not depend on the order of the sum.
+    salted by page. Up to MOST_PUSHED different terms are also a filter on the postings, which a saved index answers by
+    skipping what lies between them. Its postings are bucketed by page, so no pair of query and page is shuffled to be
+    summed. Scores are summed as whole nano-units, so the result does not depend on the order of the sum.
     """
     postings = index.postings if language is None else index.postings.where(F.col("language") == language)
-    totals = index.docs.agg(F.count(F.lit(1)).alias("n"), F.avg("doc_len").alias("avg_len")).first()
+    totals = index.totals.first()
     n, avg_len = totals["n"], totals["avg_len"] or 1.0
     terms = query_terms(queries)
     known = index.terms.join(terms.select("term").distinct(), "term", "left_semi")
     weighted = terms.join(known, "term").withColumn(
         "_idf", F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     )
+    few = [r["term"] for r in known.select("term").limit(MOST_PUSHED + 1).collect()]
+    if few and len(few) <= MOST_PUSHED:
+        postings = postings.where(_one_of(F.col("term"), few))
     met = bounded_join(postings, weighted, "term", "inner", ["page_id"])
     norm = F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / F.lit(avg_len))
     part = F.col("_idf") * F.col("tf") * (K1 + 1) / norm
@@ -105,6 +159,14 @@ def score(queries: DataFrame, index: Index, language: str | None = None) -> Data
     )
 
 
+def _one_of(column: Column, values: list[str]) -> Column:
+    """`column` is one of `values`, as a balanced tree of equalities: unlike a long IN, Parquet gets each of them."""
+    if len(values) == 1:
+        return column == values[0]
+    half = len(values) // 2
+    return _one_of(column, values[:half]) | _one_of(column, values[half:])
+
+
 def positions(scored: DataFrame, depth: int) -> DataFrame:
     """1-based rank per query down to `depth`; ties go to the lower page_id.
 

@@ -90,3 +90,33 @@ def test_missing_num_and_start(spark, rows, pages):
     assert done[1]["partial"] is True and done[2]["partial"] is False
     scored = Q.score(queries, Q.build_index(pages))
     assert [r["query_id"] for r in rows(Q.top_num(scored, queries)) if r["query_id"] == 2] == [2]
+
+
+def test_saved_index_is_bucketed_and_skips_terms(spark, pages, rows, tmp_path):
+    path = str(tmp_path / "ix")
+    Q.saved_index(pages, path, buckets=3)
+    asked = ask(spark, (1, "apple cherry", 10, 0), (2, "date absent", 10, 0))
+    want = [(r["query_id"], r["page_id"], r["score"]) for r in rows(Q.score(asked, Q.build_index(pages)), "query_id", "page_id")]
+    spark.sql(f"drop table {Q._table_of(path)}")  # as in another session, which finds the files alone
+    index = Q.read_index(spark, path)
+    scored = Q.score(asked, index)
+    assert [(r["query_id"], r["page_id"], r["score"]) for r in rows(scored, "query_id", "page_id")] == want
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(query_id" not in plan and "SelectedBucketsCount: 3 out of 3" in plan
+    assert "EqualTo(term,apple)" in plan and "EqualTo(term,date)" in plan
+
+
+def test_postings_need_no_shuffle(spark, pages, rows):
+    postings = Q.build_index(pages).postings
+    assert "Exchange" not in postings._jdf.queryExecution().executedPlan().toString()
+    got = {(r["page_id"], r["term"]): r["tf"] for r in rows(postings)}
+    assert got == {
+        (i, w): n for i, (_, t) in TEXTS.items()
+        for w, n in Counter(w for w in re.split(r"[\W_]+", f"t{i} {t}".lower()) if w).items()
+    }
+
+
+def test_pages_without_text(spark, pages, rows, tmp_path):
+    none = spark.createDataFrame([(1, "u", None)], pages.schema)
+    for index in (Q.build_index(none), Q.saved_index(pages.limit(0), str(tmp_path / "ix"))):
+        assert rows(index.postings) == [] and rows(Q.score(ask(spark, (1, "apple", 5, 0)), index)) == []
