@@ -13,18 +13,21 @@ together by one pair a text; then with the first of its other buckets, where tha
 then has members of several classes, those of different classes are compared if it has at most MEMBERS. Members of larger
 ones are cut again, exactly: of two similar texts, the rarest labelled words, or word pairs, of each have one in common
 (prefixes()). They meet the first text with such a tuple, and those of classes that are still different then meet each
-other, however many they are.
+other, however many they are. A join on such tuples leaves out pairs whose signatures (signature()) differ in more bits than
+a similar pair can, which the join's condition tells without their texts.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import importable, kept, small_side, spent, text_pieces, with_columns, written
@@ -37,6 +40,11 @@ MEMBERS = 16
 PARTNERS = 1000
 #: Slots in which the word tuples of large mixed buckets are counted; they only order them, the rare ones first.
 SLOTS = 1 << 18
+#: Longs of a text's signature.
+SIGNS = 16
+#: Lesser keys of its text that a row of a key carries. A pair that has one of them in common is left to that key; what this
+#: doesn't tell comes out again and is made distinct.
+LOW = 64
 #: Most texts that are picked out of the documents by a broadcast list.
 MOST_TEXTS = 500_000
 
@@ -287,6 +295,24 @@ def _tuples(seq: bytes, size: int) -> np.ndarray:
     return labelled(np.frombuffer(seq, np.uint32).astype(np.uint64), size)
 
 
+def signature(items: np.ndarray) -> np.ndarray:
+    """Each labelled word falls on a bit, which tells whether an odd number fell on it: of two texts, no more bits differ than
+    labelled words that only one of them has."""
+    at = (mixed(items) % np.uint64(64 * SIGNS)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * SIGNS) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _signs_allow(threshold: float) -> Column:
+    """Whether the rows (n_first, sig_first, n_words, sig) can be similar by their signatures.
+
+    With e edits at most in the longer text's words, the texts have all but e of these in common, so that 2 e less the
+    difference of their lengths are in one of them alone.
+    """
+    longer, shorter = F.greatest("n_first", "n_words"), F.least("n_first", "n_words")
+    apart = reduce(add, (F.bit_count(F.get("sig_first", k).bitwiseXOR(F.get("sig", k))) for k in range(SIGNS)))
+    return apart <= 2 * F.floor(longer * (1 - threshold) + 1e-9) - (longer - shorter)
+
+
 def _slot_counter(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.int64)
@@ -299,24 +325,35 @@ def _slot_counter(size: int):
     return run
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(arrays)))
+
+
 def _prefixer(counts, size: int, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts.value
         for batch in batches:
             for piece in text_pieces(batch):
-                nodes, found = [], []
+                nodes, sizes, signs, found = [], [], [], []
                 for node, seq in zip(*(c.to_pylist() for c in piece.columns), strict=True):
                     own = _tuples(seq, size)
                     order = np.lexsort((own, often[(own % np.uint64(SLOTS)).astype(np.int64)]))
-                    found.append(own[order[: prefix_size(len(seq) // 4, size, threshold)]].view(np.int64))
-                    nodes.append(np.full(len(found[-1]), node, np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(nodes)), pa.array(np.concatenate(found))], ["node", "key"])
+                    nodes.append(node)
+                    sizes.append(len(seq) // 4)
+                    signs.append(signature(_tuples(seq, 1)))
+                    found.append(np.sort(own[order[: prefix_size(sizes[-1], size, threshold)]].view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(signs), _lists(found)],
+                    ["node", "n_words", "sig", "keys"],
+                )
 
     return run
 
 
 def prefixes(seqs: DataFrame, threshold: float) -> DataFrame:
-    """(node, key): the rarest labelled tuples of words of each text, as many as similar texts need to have one in common.
+    """(node, n_words, sig, keys): of each text in one row the rarest labelled tuples of words in the order of their hashes, as
+    many as similar texts need to have one in common.
     What is common to many texts, as a template, comes last and is left out as far as that allows.
 
     Single words and pairs of words both serve; those are taken that make fewer pairs of texts. Pairs of words are rarer, but
@@ -328,8 +365,8 @@ def prefixes(seqs: DataFrame, threshold: float) -> DataFrame:
         counts = np.zeros(SLOTS, np.int64)
         counts[told["slot"].to_numpy()] = told["n"].to_numpy()
         counts = seqs.sparkSession.sparkContext.broadcast(counts)
-        cut = written(seqs.mapInArrow(_prefixer(counts, size, threshold), "node long, key long"))
-        sizes = cut.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        cut = written(seqs.mapInArrow(_prefixer(counts, size, threshold), "node long, n_words long, sig array<long>, keys array<long>"))
+        sizes = cut.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
         cost = sizes.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 0
         if best is None:
             best = cost, cut
@@ -341,16 +378,31 @@ def prefixes(seqs: DataFrame, threshold: float) -> DataFrame:
     return best[1]
 
 
+def _by_key(texts: DataFrame) -> DataFrame:
+    """A row for each key of each text; `low` are the LOW keys of the text next below it."""
+    rows = texts.select("*", F.posexplode("keys").alias("at", "key"))
+    return rows.withColumn("low", F.slice("keys", F.greatest(F.col("at") - LOW + 1, F.lit(1)), F.least("at", F.lit(LOW)))).drop("keys", "at")
+
+
 def _several(rows: DataFrame) -> DataFrame:
     """The rows (key, node, n_words, root) of keys with several roots, with the number `n` of the key's rows."""
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("a"), F.max("root").alias("b"))
     return rows.join(sizes.where("a <> b").select("key", "n"), "key")
 
 
-def _across(rows: DataFrame) -> DataFrame:
-    """(first, n_first, node, n_words): all pairs of a key's rows with different roots."""
-    one = rows.select("key", "root", F.col("node").alias("first"), F.col("n_words").alias("n_first"))
-    return one.join(rows.select("key", F.col("root").alias("r1"), "node", "n_words"), "key").where("root < r1").drop("key", "root", "r1")
+def _sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose key has one of a greater root, and those whose key has one of a lesser root."""
+    roots = rows.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b")
+    return rows.join(roots, "key").where("root < b").drop("a", "b"), rows.join(roots, "key").where("root > a").drop("a", "b")
+
+
+def _across(ones: DataFrame, others: DataFrame, *more: str) -> DataFrame:
+    """(first, n_first, node, n_words): all pairs of rows of a key with a lesser and a greater root; the columns `more` of both
+    as well."""
+    one = ones.select("key", "root", F.col("node").alias("first"), *(F.col(c).alias(f"{c}_first") for c in more),
+                      F.col("n_words").alias("n_first"))
+    other = others.select("key", F.col("root").alias("r1"), "node", "n_words", *more)
+    return one.join(other, "key").where("root < r1").drop("key", "root", "r1")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -422,20 +474,25 @@ def links(
 
     # Buckets that still hold several classes.
     mixed_up = written(_several(placed(mixed_up.select("key", "node", "n_words"), roots)))
-    pairs = _across(mixed_up.where(F.col("n") <= MEMBERS))
-    wide = written(mixed_up.where(F.col("n") > MEMBERS).select("node", "n_words").distinct())
+    few = mixed_up.where(F.col("n") <= MEMBERS)
+    pairs = _across(few, few)
+    wide = written(mixed_up.where(F.col("n") > MEMBERS).select("node").distinct())
     if wide.isEmpty():
         return found.union(told(new(pairs, tried)))
-    cut = wide.join(prefixes(sequences(wide.select("node"), docs, reps, id_col, text_col), threshold), "node")
-    entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"))
-    firsts = cut.groupBy("key").agg(F.min(entry).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "f.*")
-    met = cut.join(firsts, "key").where(F.col("node") != F.col("first"))
+    cut = prefixes(sequences(wide, docs, reps, id_col, text_col), threshold)
+    allowed = fits & _signs_allow(threshold)
+    entry = F.struct(F.col("node").alias("first"), F.col("n_words").alias("n_first"), F.col("sig").alias("sig_first"))
+    rows = _by_key(placed(cut, roots))
+    firsts = rows.groupBy("key").agg(F.min(entry).alias("f"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "f.*")
+    met = rows.join(firsts, "key").where((F.col("node") != F.col("first")) & allowed)
     # Of texts that are of one class already, none meet again.
     one = roots.select(F.col("node").alias("first"), F.col("root").alias("of"))
-    met = placed(met, roots).join(one, "first", "left").where(F.col("root") != F.coalesce("of", "first"))
+    met = met.join(one, "first", "left").where(F.col("root") != F.coalesce("of", "first"))
     pairs = new(pairs.union(met.select("first", "n_first", "node", "n_words")), tried)
     tried, found = tried.union(pairs), found.union(told(pairs))
-    return found.union(told(new(_across(_several(placed(cut, components(found)))), tried)))
+    left = _sides(_by_key(placed(cut, components(found))))
+    once = ~F.arrays_overlap("low_first", "low")
+    return found.union(told(new(_across(*left, "sig", "low").where(allowed & once), tried)))
 
 
 def _rooted(df: DataFrame, id_col: str, text_col: str, threshold: float, **more) -> DataFrame:

@@ -204,6 +204,25 @@ def test_similar_texts_share_a_rare_pair():
             assert cut[0] & cut[1]
 
 
+def test_signatures_leave_out_no_similar_pair(spark):
+    rng = random.Random(11)
+    rows = []
+    for n in (3, 20, 100, 700, 3000):
+        for share in (0.02, 0.15, 0.2, 0.5):
+            a = [rng.randrange(60 if n % 20 else 5000) for _ in range(n)]
+            b = list(a)
+            for _ in range(int(n * share)):
+                at = rng.randrange(len(b))
+                b[at : at + rng.randrange(2)] = [rng.randrange(9000)] * rng.randrange(1, 3) if rng.random() < 0.7 else []
+            seqs = [np.array(x, np.uint32) for x in (a, b)]
+            signs = [order_minhash.signature(order_minhash._tuples(x.tobytes(), 1)).tolist() for x in seqs]
+            rows.append((len(a), signs[0], len(b), signs[1], order_minhash.similar(*seqs, 0.8)))
+    df = spark.createDataFrame(rows, "n_first long, sig_first array<long>, n_words long, sig array<long>, near boolean")
+    told = df.select("n_first", "near", order_minhash._signs_allow(0.8).alias("allowed")).collect()
+    assert all(r.allowed for r in told if r.near) and sum(r.near for r in told) > 4
+    assert not all(r.allowed for r in told if not r.near)
+
+
 def test_one_of_each_class_stays(spark):
     rows = [r for r in near_rows() if r[0] is not None]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _rows string")
