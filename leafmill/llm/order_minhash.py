@@ -40,8 +40,8 @@ MEMBERS = 16
 PARTNERS = 1000
 #: Slots in which the word tuples of large mixed buckets are counted; they only order them, the rare ones first.
 SLOTS = 1 << 18
-#: Longs of a text's signature.
-SIGNS = 16
+#: Longs of a text's signature: bits for some twice the words in which long unlike texts differ, so that these show.
+SIGNS = 32
 #: Lesser keys of its text that a row of a key carries. A pair that has one of them in common is left to that key; what this
 #: doesn't tell comes out again and is made distinct.
 LOW = 64

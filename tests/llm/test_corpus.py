@@ -223,6 +223,18 @@ def test_signatures_leave_out_no_similar_pair(spark):
     assert not all(r.allowed for r in told if not r.near)
 
 
+def test_signatures_tell_long_unlike_texts(spark):
+    """Of 40 pairs of 800 words that have 70 of 100 words in common, none is left to be compared."""
+    rng = np.random.default_rng(13)
+    rows = []
+    for _ in range(40):
+        common, own = rng.integers(0, 1 << 32, 560, dtype=np.uint32), rng.integers(0, 1 << 32, (2, 240), dtype=np.uint32)
+        signs = [order_minhash.signature(order_minhash._tuples(np.concatenate([common, x]).tobytes(), 1)).tolist() for x in own]
+        rows.append((800, signs[0], 800, signs[1]))
+    df = spark.createDataFrame(rows, "n_first long, sig_first array<long>, n_words long, sig array<long>")
+    assert df.where(order_minhash._signs_allow(0.8)).count() == 0
+
+
 def test_one_of_each_class_stays(spark):
     rows = [r for r in near_rows() if r[0] is not None]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, _rows string")
