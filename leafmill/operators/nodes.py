@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import html as H
 from leafmill.functions.text import collapse_space, decode_entities
+from leafmill.plans.spread import by_key, parts_for
 
 _TOKEN = r"(?s)(</?[A-Za-z][^>]*>|<[!?][^>]*>|[^<]+|<)"
 _ATTR = r"""([A-Za-z_:][A-Za-z0-9_:.\-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
@@ -28,9 +29,14 @@ VOID_TAGS = (
 SELF_CLOSED_BY_NEXT = ("p", "li", "dt", "dd", "option")
 
 
-def page_tokens(pages: DataFrame) -> DataFrame:
-    """`(page_id, pos, offset, length, kind, tag, attrs, text)`; kind is open, close, void, text or other."""
-    spread = pages.select("page_id", "html").repartition("page_id")
+def page_tokens(pages: DataFrame, parts: int | None = None) -> DataFrame:
+    """`(page_id, pos, offset, length, kind, tag, attrs, text)`; kind is open, close, void, text or other.
+
+    `parts` are the partitions, by default as many as the length of the pages asks for: tokens are sorted several times in
+    a task, which holds many times the text of its pages.
+    """
+    parts = parts_for(pages, "html") if parts is None else parts
+    spread = by_key(pages.select("page_id", "html"), "page_id", parts)
     cut = spread.select(
         "page_id",
         F.posexplode(F.regexp_extract_all(H.clean_html(F.col("html")), F.lit(_TOKEN), 1)).alias("pos", "token"),
@@ -73,22 +79,22 @@ def _attrs(token: Column) -> Column:
     )
 
 
-def page_nodes(pages: DataFrame) -> DataFrame:
+def page_nodes(pages: DataFrame, parts: int | None = None) -> DataFrame:
     """Tokens with `id`, `classes` and `attrs` on tags that have attributes, and `text` on text tokens."""
     classes = F.filter(F.split(F.coalesce(F.col("attrs")["class"], F.lit("")), r"\s+"), lambda c: c != "")
-    return page_tokens(pages).withColumns(
+    return page_tokens(pages, parts).withColumns(
         {"id": F.col("attrs")["id"], "classes": F.when(F.col("attrs").isNotNull(), classes)}
     )
 
 
-def page_elements(pages: DataFrame) -> DataFrame:
+def page_elements(pages: DataFrame, parts: int | None = None) -> DataFrame:
     """Opening tags with the place where each ends: `end_pos` and `end_offset`, the first after its content.
 
     Open and close are paired per tag name by nesting level, so bad nesting of one name does not upset another.
     An element that is never closed ends at the next one of its name (`SELF_CLOSED_BY_NEXT`), else where the
     element around it closes, else at the end of the page.
     """
-    rows = page_nodes(pages).where(F.col("kind").isin("open", "close", "void", "text")).drop("text")
+    rows = page_nodes(pages, parts).where(F.col("kind").isin("open", "close", "void", "text")).drop("text")
     page_end = F.max(F.col("offset") + F.col("length")).over(W.partitionBy("page_id"))
     rows = rows.withColumn("_page_end", page_end).where(F.col("kind") != "text")
 
@@ -230,14 +236,14 @@ def _parents(elements: DataFrame, flags: list[str]) -> DataFrame:
     return out.drop("_parent", "_role", "_depth")
 
 
-def match_selectors(pages: DataFrame, selectors: Mapping[str, str]) -> DataFrame:
+def match_selectors(pages: DataFrame, selectors: Mapping[str, str], parts: int | None = None) -> DataFrame:
     """Elements that match, as `(page_id, field, pos, attrs, content_offset, end_offset)`.
 
     All selectors are tested together, step by step: "has an ancestor that matched the step before" is a running
     maximum of end positions over the page, not a join.
     """
     paths = [(field, steps) for field, text in selectors.items() for steps in selector_steps(text)]
-    elements = page_elements(pages)
+    elements = page_elements(pages, parts)
     before = W.partitionBy("page_id").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
     for depth in range(max(len(steps) for _, steps in paths)):
         active = [(i, steps[depth]) for i, (_, steps) in enumerate(paths) if len(steps) > depth]
@@ -270,7 +276,8 @@ def extract_fields(pages: DataFrame, rules: Mapping[str, str | Mapping]) -> Data
     element's text. Matches without the attribute give nothing.
     """
     rules = {f: {"selector": r} if isinstance(r, str) else dict(r) for f, r in rules.items()}
-    hits = match_selectors(pages, {f: r["selector"] for f, r in rules.items()})
+    parts = parts_for(pages, "html")
+    hits = match_selectors(pages, {f: r["selector"] for f, r in rules.items()}, parts)
     attr_of = {f: r["attr"].lower() for f, r in rules.items() if r.get("attr")}
     many = [f for f, r in rules.items() if r.get("multiple")]
 
@@ -285,7 +292,7 @@ def extract_fields(pages: DataFrame, rules: Mapping[str, str | Mapping]) -> Data
     hits = hits.where((F.col("idx") == 0) | F.col("field").isin(*many)) if many else hits.where("idx = 0")
 
     # Same spread as the hits, so the page text meets its matches without another shuffle of either.
-    source = pages.select("page_id", "html").repartition("page_id").select(
+    source = by_key(pages.select("page_id", "html"), "page_id", parts).select(
         "page_id", H.clean_html(F.col("html")).alias("_clean")
     )
     inner = F.substring(F.col("_clean"), F.col("content_offset") + 1, F.col("end_offset") - F.col("content_offset"))

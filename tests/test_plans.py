@@ -62,6 +62,17 @@ def test_selectors_shuffle_pages_once(pages, no_broadcast):
     assert len(exchanges) == 2  # the same page rows on both sides of the last join; Spark runs it once
 
 
+def test_large_pages_are_cut_in_parts_of_bounded_size(spark, no_broadcast):
+    rules = {"a": {"selector": "nav > ul > li", "multiple": True}}
+    for n in (400, 800):  # 40 and 80 million characters
+        html = F.concat(F.lit("<nav><ul><li>a<li>b</ul></nav>"), F.repeat(F.lit("x"), 99_970))
+        pages = spark.range(n).select(F.col("id").alias("page_id"), html.alias("html"))
+        text = plan(N.extract_fields(pages, rules))
+        exchanges = [line for line in text.splitlines() if "Exchange " in line]
+        assert len(exchanges) == 2
+        assert all(f", {n // 40})" in e and "hashpartitioning(page_id" in e for e in exchanges)
+
+
 def test_page_bodies_move_by_page_only(spark, pages, no_broadcast):
     requests = pages.select(
         F.col("page_id").alias("request_id"), "url", F.array(F.lit("markdown")).alias("formats")
