@@ -62,6 +62,7 @@ def with_columns(df: DataFrame, text_col: str, make: Callable[[], Callable[[list
                 got = work([t or "" for t in piece.column(at).to_pylist()])
                 arrays = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(got, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*piece.columns, *arrays], schema.names)
+        pa.default_memory_pool().release_unused()  # the worker waits for other tasks, maybe of other operators
 
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from leafmill.llm.common import importable, over_texts
 
 MARK = "▁"
-#: Most cuts, and most answers on neighbours, that are kept at once.
-KEPT = 300_000
+#: Most cuts in each half of those that are kept (some 200 bytes each, in every Python worker), and most answers on
+#: neighbours, which take longer to find again.
+CUTS, ANSWERS = 100_000, 300_000
 
 _NORMAL, _UNKNOWN, _BYTE = (1, 4, 5), 2, 6
 
@@ -96,7 +97,7 @@ class Model:
         """Whether merging the joined text gives exactly these two tokens."""
         key = (last, token)
         if (known := self.fits.get(key)) is None:
-            if len(self.fits) > KEPT:
+            if len(self.fits) > ANSWERS:
                 self.fits.clear()
             known = self.merged(token) == [token] if last is None else self.merged(last + token) == [last, token]
             self.fits[key] = known
@@ -193,7 +194,7 @@ class Encoder(dict):
 
     def __missing__(self, cut: str) -> tuple[int, ...]:
         ids = self.older.get(cut) or self.model.cut_ids(cut)
-        if len(self) > KEPT:
+        if len(self) > CUTS:
             self.older = dict(self)
             self.clear()
         if len(cut) < 200:

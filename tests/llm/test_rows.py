@@ -302,6 +302,14 @@ def test_decode_skips_what_shows_nothing(library):
         assert enc.model.decode(ids) == library.decode(ids)
 
 
+def test_encoder_keeps_few_cuts():
+    """A worker keeps 200,000 cuts at most, however many there are."""
+    enc = pieces.Encoder(pieces.Model(pieces.read_model(MODEL)))
+    enc.encode(" ".join(map(str, range(210_000))))
+    assert len(enc) + len(enc.older) < 200_010
+    assert enc.encode("12 209999") == enc.encode("12") + enc.encode("209999")
+
+
 def test_secrets_in_long_texts():
     """Time follows the length, whatever is repeated."""
     begin = time.perf_counter()
