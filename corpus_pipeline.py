@@ -18,6 +18,8 @@ from leafmill.llm.quality import quality_filter  # noqa: E402
 from leafmill.llm.queries import PIECE_MODEL, table, token_digests  # noqa: E402
 from leafmill.llm.secret_scan import mask_secrets  # noqa: E402
 
+#: Cuts that an encoder keeps: fewer than op3_sentencepiece's, as executors here have the memory of the stages before.
+CUTS = 100_000
 #: SQL can't express these stages; tests/llm hold them against brute force.
 ORACLE_SQL = None
 
@@ -45,7 +47,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Number of tokens and digests of each document that is left."""
-    return token_digests(encode_decode(docs, PIECE_MODEL))
+    return token_digests(encode_decode(docs, PIECE_MODEL, cuts=CUTS))
 
 
 STAGES = [

@@ -25,8 +25,8 @@ from leafmill.llm.common import importable, over_texts
 
 MARK = "▁"
 #: Most cuts in each half of those that are kept (some 200 bytes each, in every Python worker), and most answers on
-#: neighbours, which take longer to find again.
-CUTS, ANSWERS = 100_000, 300_000
+#: neighbours.
+CUTS, ANSWERS = 300_000, 300_000
 
 _NORMAL, _UNKNOWN, _BYTE = (1, 4, 5), 2, 6
 
@@ -188,13 +188,13 @@ def _lenient(raw: bytes) -> Iterator[str]:
 class Encoder(dict):
     """Ids by cut, filled as cuts appear; when full, it becomes the older half and a new one is begun."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, cuts: int = CUTS):
         super().__init__()
-        self.model, self.older = model, {}
+        self.model, self.most, self.older = model, cuts, {}
 
     def __missing__(self, cut: str) -> tuple[int, ...]:
         ids = self.older.get(cut) or self.model.cut_ids(cut)
-        if len(self) > CUTS:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
         if len(cut) < 200:
@@ -208,14 +208,14 @@ class Encoder(dict):
         return list(chain.from_iterable([self[c] for c in cuts]))
 
 
-_LOADED: dict[bytes, Encoder] = {}  # by model, kept as long as the Python worker
+_LOADED: dict[tuple[bytes, int], Encoder] = {}  # by model and size, kept as long as the Python worker
 
 
-def encoder(serialised: bytes) -> Encoder:
-    if serialised not in _LOADED:
+def encoder(serialised: bytes, cuts: int = CUTS) -> Encoder:
+    if (serialised, cuts) not in _LOADED:
         _LOADED.clear()
-        _LOADED[serialised] = Encoder(Model(serialised))
-    return _LOADED[serialised]
+        _LOADED[serialised, cuts] = Encoder(Model(serialised), cuts)
+    return _LOADED[serialised, cuts]
 
 
 def lists(rows: list[list[int]]) -> pa.ListArray:
@@ -231,17 +231,19 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode_decode(
+    df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", cuts: int = CUTS
+) -> DataFrame:
     """(id, ids array<int>, decoded string) for each row of `df`, whole texts, without begin or end ids.
 
     Null and empty texts give no ids and an empty text. Rows stay as they are: repeated rows and null ids each give their
     row, an empty table none; other columns are not read. The model is read once on the driver (about 0.5 MB) and sent
-    with the tasks. A text is held whole; nothing is shuffled.
+    with the tasks. A text is held whole; nothing is shuffled. Fewer `cuts` take less memory and more time, with the same rows.
     """
     sent = df.sparkSession.sparkContext.broadcast(read_model(model_path))
 
     def make():
-        enc = encoder(sent.value)
+        enc = encoder(sent.value, cuts)
 
         def work(texts: list[str]) -> list:
             rows = [enc.encode(t) for t in texts]

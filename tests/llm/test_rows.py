@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from leafmill.llm import licenses, pieces, quality, secret_scan, sharding, token_counts, urls
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -303,8 +304,8 @@ def test_decode_skips_what_shows_nothing(library):
 
 
 def test_encoder_keeps_few_cuts():
-    """A worker keeps 200,000 cuts at most, however many there are."""
-    enc = pieces.Encoder(pieces.Model(pieces.read_model(MODEL)))
+    """A worker of the pipeline keeps 200,000 cuts at most, however many there are."""
+    enc = pieces.Encoder(pieces.Model(pieces.read_model(MODEL)), corpus_pipeline.CUTS)
     enc.encode(" ".join(map(str, range(210_000))))
     assert len(enc) + len(enc.older) < 200_010
     assert enc.encode("12 209999") == enc.encode("12") + enc.encode("209999")
